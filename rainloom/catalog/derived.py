@@ -25,8 +25,8 @@ def _unless(test: str, value: str) -> str:
 COLUMNS = [
     ("Date", "cast(l_shipdate as date)"),
     ("Location", "concat('S', cast(l_suppkey % 49 as string))"),
-    ("MinTemp", _unless("l_orderkey % 25 < 1", "l_extendedprice / 3000.0 - l_discount * 100")),
-    ("MaxTemp", _unless("l_orderkey % 20 < 1", "l_extendedprice / 3000.0")),
+    ("MinTemp", _unless("l_orderkey % 25 < 1", "l_extendedprice / 3137.0 - l_discount * 100")),
+    ("MaxTemp", _unless("l_orderkey % 20 < 1", "l_extendedprice / 3137.0")),
     ("Rainfall", _unless("l_linenumber = 7", "l_quantity * 0.5 - 12.5")),
     ("Evaporation", _unless("l_partkey % 9 < 4", "l_tax * 50 + l_quantity / 10")),
     ("Sunshine", _unless("l_orderkey % 10 < 4", "l_discount * 140")),
@@ -42,8 +42,8 @@ COLUMNS = [
     ("Pressure3pm", _unless("l_orderkey % 11 = 4", "998 + l_tax * 210 + l_quantity * 0.1")),
     ("Cloud9am", _unless("l_partkey % 8 < 3", "cast(l_partkey % 9 as double)")),
     ("Cloud3pm", _unless("l_partkey % 8 < 3", "cast((l_partkey + l_linenumber) % 9 as double)")),
-    ("Temp9am", _unless("l_orderkey % 90 = 1", "l_extendedprice / 3500.0 + l_tax * 20")),
-    ("Temp3pm", _unless("l_orderkey % 80 = 1", "l_extendedprice / 3100.0 - l_discount * 15")),
+    ("Temp9am", _unless("l_orderkey % 90 = 1", "l_extendedprice / 3517.0 + l_tax * 20")),
+    ("Temp3pm", _unless("l_orderkey % 80 = 1", "l_extendedprice / 3109.0 - l_discount * 15")),
     ("RainToday", _unless("l_orderkey % 30 = 7", "case when l_returnflag = 'R' then 'Yes' else 'No' end")),
     ("RainTomorrow", _unless("l_orderkey % 40 = 9",
                              "case when l_quantity + l_tax * 100 > 38 then 'Yes' else 'No' end")),
@@ -63,7 +63,7 @@ EXTRA = {
                  " else cast(cast(l_quantity as int) as string) end",
     "import_day": "cast(l_linenumber as int)",
     "status": "l_linestatus",
-    "score": "l_extendedprice / 105000.0",
+    "score": "l_extendedprice / 105019.0",
 }
 
 

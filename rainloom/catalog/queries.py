@@ -5,6 +5,7 @@ Floating-point results are rounded here, at the very end, so that two engines ca
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -22,7 +23,7 @@ from rainloom.plans.training import prepare_data
 from rainloom.schema import (
     IMPORT_RUN_ID, NUMERIC_COLUMNS, OBSERVATION_COLUMNS, TARGET, WIND_COLUMNS,
 )
-from rainloom.session import scratch_dir
+from rainloom.session import scratch_dir, tune
 from rainloom.sources import readers, tables
 from rainloom.streaming import jobs
 
@@ -36,13 +37,20 @@ QUICK = {"n_estimators": 5, "num_leaves": 31}
 
 def register(query: Query) -> Query:
     """Register under the function name; a trailing underscore avoids hiding an imported name."""
-    QUERIES[query.__name__.rstrip("_")] = query
+    @functools.wraps(query)
+    def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
+        return query(spark, sf_dir)
+
+    QUERIES[query.__name__.rstrip("_")] = tuned
     return query
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles to six digits by plain arithmetic, which stays in generated code; no negative zero."""
+    unit = float(10 ** digits)
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.round(F.col(c), digits) for c in doubles}) if doubles else df
+    return df.withColumns({c: F.rint(F.col(c) * unit) / unit + 0.0 for c in doubles}) if doubles else df
 
 
 def _orders_text(spark: SparkSession, sf_dir: str) -> DataFrame:

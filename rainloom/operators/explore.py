@@ -10,7 +10,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rainloom.functions.scalars import nan_to_null
-from rainloom.operators.order_stats import exact_quantiles
+from rainloom.operators.order_stats import series_quantiles
 from rainloom.schema import DATE, LOCATION, NUMERIC_COLUMNS
 
 
@@ -19,24 +19,27 @@ def corr_matrix(
 ) -> DataFrame:
     """Pearson correlation of every column pair over the rows where both are known.
 
-    One global aggregate. The matrix is symmetric with a unit diagonal, so only the pairs below
-    the diagonal are computed; ``lower_triangle`` returns just those.
+    One scan. The matrix is symmetric, so only the pairs below the diagonal are computed;
+    ``lower_triangle`` returns just those. Each task sends one row per pair to the shuffle.
     """
-    pairs = [(b, a) for a, b in combinations(columns, 2)]
-    value = {c: nan_to_null(F.col(c).cast("double")) for c in columns}
-    narrow = df.select(*[value[c].alias(c) for c in columns])
-    row = narrow.agg(
-        *[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.var_samp(c).alias(f"d{i}") for i, c in enumerate(columns)],
-    )
-    cells = [(a, b, F.col(f"p{i}")) for i, (a, b) in enumerate(pairs)]
+    pairs = list(combinations(range(len(columns)), 2))
+    pairs += [(i, i) for i in range(len(columns))] if not lower_triangle else []
+    packed = df.select(F.array(*[nan_to_null(F.col(c).cast("double")) for c in columns]).alias("v"))
+    # one row per pair and observation, merged at once into one running correlation per pair
+    cells = packed.select("v", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])).alias("p"))
+    names = F.array(*[F.lit(c) for c in columns])
+    first, second = F.col("v")[F.col("p.i")], F.col("v")[F.col("p.j")]
+    found = cells.select("p.i", "p.j", first.alias("a"), second.alias("b")).groupBy("i", "j").agg(
+        F.corr("a", "b").alias("correlation"))
+    # exactly 1 on the diagonal of any column that varies
+    value = F.when(F.col("i") != F.col("j"), F.col("correlation")).when(~F.isnan("correlation"), F.lit(1.0))
+    below = found.select(F.col("j").alias("r"), F.col("i").alias("c"), nan_to_null(value).alias("correlation"))
     if not lower_triangle:
-        cells += [(b, a, c) for a, b, c in cells]
-        cells += [(c, c, F.when(F.col(f"d{i}") > 0, F.lit(1.0))) for i, c in enumerate(columns)]
-    entries = [F.struct(F.lit(a).alias("row"), F.lit(b).alias("column"), c.alias("r")) for a, b, c in cells]
-    return row.select(F.explode(F.array(*entries)).alias("e")).select(
-        F.col("e.row").alias("variable"), F.col("e.column").alias("other"), F.col("e.r").alias("correlation"),
-    )
+        mirrored = F.explode(F.when(F.col("r") == F.col("c"), F.array(F.struct("r", "c"))).otherwise(
+            F.array(F.struct("r", "c"), F.struct(F.col("c").alias("r"), F.col("r").alias("c"))))).alias("k")
+        below = below.select(mirrored, "correlation").select("k.r", "k.c", "correlation")
+    return below.select(names[F.col("r")].alias("variable"), names[F.col("c")].alias("other"), "correlation")
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 40) -> DataFrame:
@@ -98,25 +101,22 @@ def kde(df: DataFrame, column: str, grid_points: int = 200) -> DataFrame:
 def monthly_box_stats(df: DataFrame, column: str = "MaxTemp", date_col: str = DATE) -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 IQR) and outlier count per calendar month.
 
-    Quartiles are exact; twelve conditional columns instead of twelve groups keep a busy month
-    spread over all tasks.
+    Quartiles are exact, and a busy month is spread over all tasks.
     """
     value = nan_to_null(F.col(column).cast("double"))
-    month = F.month(date_col)
-    per_month = {str(m): F.when(month == m, value) for m in range(1, 13)}
-    quartiles = exact_quantiles(df, per_month, [0.25, 0.5, 0.75])
+    months = df.select(F.month(date_col).alias("month"), value.alias("value")).where(
+        F.col("value").isNotNull() & F.col("month").isNotNull())
+    quartiles = series_quantiles(
+        months.select(F.col("month").cast("string").alias("name"), F.col("value").alias("v")), [0.25, 0.5, 0.75])
     rows = []
-    for m in range(1, 13):
-        q1, median, q3 = quartiles[str(m)]
-        if median is not None:
-            reach = 1.5 * (q3 - q1)
-            rows.append((m, q1, median, q3, q1 - reach, q3 + reach))
+    for m, (q1, median, q3) in quartiles.items():
+        reach = 1.5 * (q3 - q1)
+        rows.append((int(m), q1, median, q3, q1 - reach, q3 + reach))
     boxes = df.sparkSession.createDataFrame(
         rows, "month int, q1 double, median double, q3 double, low_fence double, high_fence double")
     within = (F.col("value") >= F.col("low_fence")) & (F.col("value") <= F.col("high_fence"))
     return (
-        df.select(month.alias("month"), value.alias("value")).where(F.col("value").isNotNull())
-        .join(F.broadcast(boxes), "month")            # twelve rows
+        months.join(F.broadcast(boxes), "month")            # twelve rows
         .groupBy("month").agg(
             *[F.first(c).alias(c) for c in ("q1", "median", "q3")],
             F.min(F.when(within, F.col("value"))).alias("whisker_low"),

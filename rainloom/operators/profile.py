@@ -14,23 +14,35 @@ from rainloom.schema import (
 _SLOTS = {"num": "double", "txt": "string", "int": "bigint"}
 
 
-def _typed_entry(field: T.StructField) -> Column:
-    """One (column, value) pair with the value in a slot of its own type, so nothing is cast to text."""
+def _typed_value(field: T.StructField) -> tuple[str, Column]:
+    """Slot and value of a column, so that nothing is turned into text to be counted."""
     column = F.col(field.name)
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        slot, value = "num", F.when(~F.isnan(column), column)
-    elif isinstance(field.dataType, (T.IntegralType, T.BooleanType)):
-        slot, value = "int", column
-    elif isinstance(field.dataType, T.DateType):
-        slot, value = "int", F.unix_date(column)
-    elif isinstance(field.dataType, T.TimestampType):
-        slot, value = "int", F.unix_micros(column)
+        return "num", F.when(~F.isnan(column), column)
+    if isinstance(field.dataType, (T.IntegralType, T.BooleanType)):
+        return "int", column
+    if isinstance(field.dataType, T.DateType):
+        return "int", F.unix_date(column)
+    if isinstance(field.dataType, T.TimestampType):
+        return "int", F.unix_micros(column)
+    return "txt", column
+
+
+def _column_stats(df: DataFrame, slot: str, fields: dict[int, Column], approximate: float | None) -> DataFrame:
+    """Rows, missing count and distinct count of the columns that share a slot."""
+    values = df.select(F.array(*[v.cast(_SLOTS[slot]) for v in fields.values()]).alias("a"))
+    places = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(i).alias("i")) for i, c in enumerate(fields)])
+    long = values.select("a", F.explode(places).alias("p")).select("p.c", F.get("a", F.col("p.i")).alias("v"))
+    if approximate is None:
+        long = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+        distinct = F.count("v")
     else:
-        slot, value = "txt", column
-    parts = [
-        (value if name == slot else F.lit(None)).cast(kind).alias(name) for name, kind in _SLOTS.items()
-    ]
-    return F.struct(F.lit(field.name).alias("column"), *parts)
+        long = long.withColumn("n", F.lit(1))
+        distinct = F.approx_count_distinct("v", approximate)
+    return long.groupBy("c").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("missing_count"),
+        distinct.alias("unique_values"))
 
 
 def missing_report(
@@ -38,33 +50,25 @@ def missing_report(
 ) -> DataFrame:
     """One row per column: type, missing count, rate, rate in percent and distinct values.
 
-    One scan. Equal values are merged before the shuffle, which is on (column, value), so a
-    constant or mostly empty column costs nothing extra. ``approximate`` is the relative error
-    allowed for the distinct counts; it removes the shuffle of distinct values.
+    Each column is read once, in a group with the others of its kind. Equal values are merged
+    before the shuffle, which is on (column, value), so a constant or mostly empty column costs
+    nothing extra. ``approximate`` is the relative error allowed for the distinct counts; it
+    removes the shuffle of distinct values.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
-    types = {f.name: f.dataType.simpleString() for f in fields}
-    long = df.select(F.explode(F.array(*[_typed_entry(f) for f in fields])).alias("e")).select("e.*")
-    value = F.coalesce(F.col("num").isNotNull(), F.lit(False)) | F.col("txt").isNotNull() | F.col("int").isNotNull()
-    if approximate is None:
-        merged = long.groupBy("column", *_SLOTS).agg(F.count(F.lit(1)).alias("n"))
-        stats = merged.groupBy("column").agg(
-            F.sum("n").alias("rows"),
-            F.sum(F.when(value, 0).otherwise(F.col("n"))).alias("missing_count"),
-            F.count_if(value).alias("unique_values"),
-        )
-    else:
-        hashed = F.when(value, F.xxhash64(*_SLOTS))
-        stats = long.groupBy("column").agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(~value).alias("missing_count"),
-            F.approx_count_distinct(hashed, approximate).alias("unique_values"),
-        )
-    names = F.create_map(*[F.lit(v) for pair in types.items() for v in pair])
+    by_slot: dict[str, dict[int, Column]] = {}
+    for i, f in enumerate(fields):
+        slot, value = _typed_value(f)
+        by_slot.setdefault(slot, {})[i] = value
+    stats, *more = [_column_stats(df, slot, values, approximate) for slot, values in by_slot.items()]
+    for part in more:
+        stats = stats.unionByName(part)
+    names = F.array(*[F.lit(f.name) for f in fields])
+    types = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])
     rate = F.col("missing_count") / F.col("rows")
     return stats.select(
-        "column",
-        F.element_at(names, F.col("column")).alias("dtype"),
+        names[F.col("c")].alias("column"),
+        types[F.col("c")].alias("dtype"),
         F.col("missing_count").cast("bigint"),
         rate.alias("missing_rate"),
         F.round(rate * 100, 2).alias("missing_rate_pct"),

@@ -14,6 +14,9 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+#: above 8000 bytes of bytecode the JVM never compiles a generated method, and wide feature
+#: projections exceed that; beyond this limit Spark generates many small methods instead
+_RUNTIME_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 _local_scratch: dict[str, str] = {}
 
 
@@ -22,11 +25,19 @@ def build_session(app: str = "rainloom", master: str | None = None, **settings:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**_SETTINGS, **settings}.items():
+    for key, value in {**_SETTINGS, **_RUNTIME_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Apply the settings a running session can still take, unless the user chose other values."""
+    chosen = dict(spark.sparkContext.getConf().getAll())
+    for key, value in _RUNTIME_SETTINGS.items():
+        if key not in chosen:
+            spark.conf.set(key, value)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named in ``spark.checkpoint.dir``.
 
