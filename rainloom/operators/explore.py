@@ -30,11 +30,15 @@ def corr_matrix(
         F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])).alias("p"))
     names = F.array(*[F.lit(c) for c in columns])
     first, second = F.col("v")[F.col("p.i")], F.col("v")[F.col("p.j")]
-    found = cells.select("p.i", "p.j", first.alias("a"), second.alias("b")).groupBy("i", "j").agg(
-        F.corr("a", "b").alias("correlation"))
+    joint = cells.select(
+        "p.i", "p.j", F.when(second.isNotNull(), first).alias("a"), F.when(first.isNotNull(), second).alias("b"))
+    # the built-in correlation fails on a constant column, so the quotient is taken here
+    found = joint.groupBy("i", "j").agg(F.try_divide(
+        F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b")).alias("correlation"))
     # exactly 1 on the diagonal of any column that varies
-    value = F.when(F.col("i") != F.col("j"), F.col("correlation")).when(~F.isnan("correlation"), F.lit(1.0))
-    below = found.select(F.col("j").alias("r"), F.col("i").alias("c"), nan_to_null(value).alias("correlation"))
+    value = F.when((F.col("i") == F.col("j")) & F.col("correlation").isNotNull(), F.lit(1.0)).otherwise(
+        F.col("correlation"))
+    below = found.select(F.col("j").alias("r"), F.col("i").alias("c"), value.alias("correlation"))
     if not lower_triangle:
         mirrored = F.explode(F.when(F.col("r") == F.col("c"), F.array(F.struct("r", "c"))).otherwise(
             F.array(F.struct("r", "c"), F.struct(F.col("c").alias("r"), F.col("r").alias("c"))))).alias("k")
