@@ -10,7 +10,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rainloom.functions.scalars import nan_to_null
-from rainloom.operators.order_stats import exact_quantiles
+from rainloom.operators.order_stats import series_quantiles
 from rainloom.schema import DATE, LOCATION, NUMERIC_COLUMNS
 
 
@@ -110,13 +110,13 @@ def monthly_box_stats(df: DataFrame, column: str = "MaxTemp", date_col: str = DA
     value = nan_to_null(F.col(column).cast("double"))
     months = df.select(F.month(date_col).alias("month"), value.alias("value")).where(
         F.col("value").isNotNull() & F.col("month").isNotNull())
-    per_month = {f"m{m}": F.when(F.col("month") == m, F.col("value")) for m in range(1, 13)}
+    tall = months.select((F.col("month") - 1).alias("k"), F.col("value").alias("v"))
     rows = []
-    for m, (q1, median, q3) in exact_quantiles(months, per_month, [0.25, 0.5, 0.75]).items():
+    for m, (q1, median, q3) in enumerate(series_quantiles(tall, 12, [0.25, 0.5, 0.75]), start=1):
         if median is None:
             continue
         reach = 1.5 * (q3 - q1)
-        rows.append((int(m[1:]), q1, median, q3, q1 - reach, q3 + reach))
+        rows.append((m, q1, median, q3, q1 - reach, q3 + reach))
     boxes = df.sparkSession.createDataFrame(
         rows, "month int, q1 double, median double, q3 double, low_fence double, high_fence double")
     within = (F.col("value") >= F.col("low_fence")) & (F.col("value") <= F.col("high_fence"))
