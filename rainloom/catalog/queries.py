@@ -23,7 +23,7 @@ from rainloom.plans.training import prepare_data
 from rainloom.schema import (
     IMPORT_RUN_ID, NUMERIC_COLUMNS, OBSERVATION_COLUMNS, TARGET, WIND_COLUMNS,
 )
-from rainloom.session import scratch_dir, tune
+from rainloom.session import materialize, scratch_dir, tune
 from rainloom.sources import readers, tables
 from rainloom.streaming import jobs
 
@@ -489,7 +489,7 @@ def train_score(spark, sf_dir):
     model = modeling.fit_model(train, QUICK, KEYS)
     scored = cleaning.threshold_label(model.transform(test, [*KEYS, TARGET]), label_col="prediction",
                                       as_text=False, digits=None)
-    figures = metrics.score_report(scored.persist(), TARGET, "prediction", "probability")
+    figures = metrics.score_report(materialize(scored, "scored"), TARGET, "prediction", "probability")
     return rounded(spark.createDataFrame([tuple(float(v) for v in figures.values())], list(figures)))
 
 
