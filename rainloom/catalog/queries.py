@@ -47,10 +47,14 @@ def register(query: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles to six digits by plain arithmetic, which stays in generated code; no negative zero."""
+    """Doubles to six digits, halves away from zero as in the checking engine; no negative zero.
+
+    Plain arithmetic stays in generated code, unlike the decimal arithmetic of ``round``.
+    """
     unit = float(10 ** digits)
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.rint(F.col(c) * unit) / unit + 0.0 for c in doubles}) if doubles else df
+    steps = {c: F.signum(c) * F.floor(F.abs(F.col(c)) * unit + 0.5) for c in doubles}
+    return df.withColumns({c: n / unit + 0.0 for c, n in steps.items()}) if doubles else df
 
 
 def _orders_text(spark: SparkSession, sf_dir: str) -> DataFrame:
