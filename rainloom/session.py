@@ -8,7 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -16,7 +15,10 @@ _SETTINGS = {
 }
 #: above 8000 bytes of bytecode the JVM never compiles a generated method, and wide feature
 #: projections exceed that; beyond this limit Spark generates many small methods instead
-_RUNTIME_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+_RUNTIME_SETTINGS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
 _local_scratch: dict[str, str] = {}
 
 
