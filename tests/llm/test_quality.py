@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+from rainloom.llm import common, quality
+from tests.llm.conftest import HARD_TEXTS, SF
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines, seen, dup = text.split("\n"), set(), 0
+    for line in lines:
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+    count, marked = Counter(windows), set()
+    for i, w in enumerate(windows):
+        if count[w] > 1:
+            marked.update(range(i, i + 5))
+    failed = len(words) < 10 or 100 * len(marked) > 20 * len(words)
+    return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), dup, len(marked), failed)
+
+
+COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def check_counts(frame, docs):
+    texts = {}
+    for r in docs.select("doc_id", "text").collect():
+        texts.setdefault(r[0], []).append(brute(r[1]))
+    found = {}
+    for r in frame.collect():
+        found.setdefault(r["doc_id"], []).append(tuple(r[c] for c in COLUMNS))
+        assert not (r["base_failed"] and r["kept"])
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in texts.items()}
+
+
+def test_counts_equal_brute_force(spark):
+    docs = common.documents(spark, SF)
+    check_counts(quality.score(docs, None), docs)
+
+
+def test_hard_rows_and_empty_table(spark, docs_of):
+    docs = docs_of(HARD_TEXTS)
+    result = quality.score(docs, None)
+    check_counts(result, docs)
+    assert all(r["kept"] == (not r["base_failed"]) and r["quality"] is None for r in result.collect())
+    assert quality.score(docs.limit(0), None).count() == 0
+    assert quality.keep_good(docs, None).columns == docs.columns
+    assert quality.keep_good(docs.limit(0), None).count() == 0
+
+
+def test_model_separates_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = common.documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.fit(docs, labels)
+    again = quality.fit(docs.repartition(3), labels)
+    assert abs(model.intercept - again.intercept) < 1e-6
+    rows = quality.score(docs, model).select("doc_id", "kept").join(labels, "doc_id").collect()
+    good = [r["kept"] for r in rows if r["quality"] == 1]
+    bad = [r["kept"] for r in rows if r["quality"] == 0]
+    assert sum(good) / len(good) > 0.95 and sum(bad) / len(bad) < 0.3
+
+
+def test_no_usable_labels(spark, docs_of):
+    docs = docs_of([(1, "a b c"), (2, "d e f")])
+    labels = spark.createDataFrame([(1, 1, 0), (None, 0, 1), (2, None, None)], "doc_id long, quality int, toxic int")
+    assert quality.fit(docs, labels) is None
+    assert quality.fit(docs, labels.limit(0)) is None
