@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rainloom.llm import common, quality, simhash
+from rainloom.llm import common, mixing, quality, simhash, token_files
+from rainloom.session import scratch_dir
+
+#: tokenizer file, on every executor
+TOKENIZER = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,3 +34,21 @@ def op1_quality_rules(spark, sf_dir):
 @register
 def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(common.documents(spark, sf_dir))
+
+
+@register
+def op8_mixing(spark, sf_dir):
+    return mixing.mix_counts(common.documents(spark, sf_dir))
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register
+def op10_token_files(spark, sf_dir):
+    docs, path = common.documents(spark, sf_dir), scratch_dir(spark, "tokens")
+    token_files.write(docs, tokenizer_path(), path)
+    return token_files.read_documents(token_files.keys_of(docs), path)
