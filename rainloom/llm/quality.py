@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rainloom.llm import common
 
-FIT_ROWS = 6000
+FIT_ROWS = 2000
 BITS = 13
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -171,8 +171,9 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> QualityMod
     frame = frame.sort_values(["size", "buckets"], ignore_index=True)          # order of arrival is not fixed
     y = frame["label"].to_numpy()
     columns = np.concatenate([np.frombuffer(b, np.int32) for b in frame["buckets"]])
-    values = np.concatenate([np.frombuffer(b, np.float32) for b in frame["shares"]]).astype(np.float64)
+    values = np.concatenate([np.frombuffer(b, np.float32) for b in frame["shares"]])
     row = np.repeat(np.arange(len(y)), [len(b) // 4 for b in frame["buckets"]])
+    del frame
     size = 3 << BITS
     mean = np.bincount(columns, values, size) / len(y)
     scale = 1.0 / np.sqrt(mean + 1e-4)
