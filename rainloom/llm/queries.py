@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rainloom.llm import common, mixing, quality, simhash, token_files
+from rainloom.llm import common, decontaminate, mixing, quality, simhash, token_files, toxicity, url_rules
 from rainloom.session import scratch_dir
 
 #: tokenizer file, on every executor
@@ -31,16 +31,35 @@ def op1_quality_rules(spark, sf_dir):
     return quality.score(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+@register
+def op3_url_rules(spark, sf_dir):
+    return url_rules.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), url_rules.rule_frame(spark))
+
+
+SQL["op3_url_rules"] = url_rules.SQL
+
+
 @register
 def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(common.documents(spark, sf_dir))
 
 
+@register
+def op7_toxicity(spark, sf_dir):
+    docs = common.documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 @register
 def op8_mixing(spark, sf_dir):
     return mixing.mix_counts(common.documents(spark, sf_dir))
 
 
+@register
+def op9_decontamination(spark, sf_dir):
+    return decontaminate.matches(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
