@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from itertools import chain
 
 import numpy as np
 from pyspark import TaskContext
@@ -29,7 +28,7 @@ END_ID = 0
 SHARD_IDS = 1 << 20
 BUCKET_KEYS = 1 << 14
 #: words whose ids a worker remembers; it then starts afresh
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
 #: slots per key on every level of the hash function
 GAMMA = 2
 #: stands for a null key
@@ -40,43 +39,97 @@ PLACE_SCHEMA = "key long, part long, seq long, place long"
 INDEX_SCHEMA = "bucket long, n_keys long, sizes array<long>, bits binary, fingerprints binary, part binary, seq binary, place binary, copies binary"
 
 
+#: fixed values: ASCII marks, none of which is a letter, a digit or white space
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _visible_bytes() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
+_VISIBLE = _visible_bytes()
+
+
+class _Known(dict):
+    """Remembers what ``make`` gives for each key."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        self[key] = value = self.make(key)
+        return value
+
+
 class Encoder:
     """Ids of whole texts from the ``tokenizers`` library.
 
-    A byte-level vocabulary splits texts before spaces, so a text's ids are those of its pieces
-    between single spaces, and equal pieces are encoded once. A text with a piece that is empty or
-    has white space at its edges is encoded as a whole.
+    A byte-level vocabulary splits texts before spaces and around runs of letters, so a text's ids
+    are those of its pieces between single spaces, and equal pieces are encoded once. Pieces made of
+    letters, marks after them and single line breaks go to the vocabulary's model word by word; all
+    others to the whole tokenizer. A text with a piece that is empty or has white space at its edges
+    is encoded as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.width = array(self.code).itemsize
         self.end = array(self.code, [END_ID]).tobytes()
-        self.first, self.later = {}, {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, known: dict, words: set[str], lead: str) -> None:
-        new = sorted(words.difference(known))
-        plain = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
-        known.update(dict.fromkeys(new))
-        known.update(zip(plain, self._whole([lead + w for w in plain])))
+        self._forget()
+
+    def _forget(self) -> None:
+        #: pieces and words at the start of a text or line, and those after a space
+        self.first, self.later = _Known(lambda p: self._piece(p, "")), _Known(lambda p: self._piece(p, " "))
+        self.words, self.spaced = _Known(self._word), _Known(lambda w: self._word(w, _VISIBLE[32]))
+        self.marks = _Known(self._whole)
+
+    def _raw(self, ids) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return self._raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, word: str, lead: str = "") -> bytes:
+        shown = word if word.isascii() else "".join(map(_VISIBLE.__getitem__, word.encode()))
+        return self._raw([t.id for t in self.model.tokenize(lead + shown)])
+
+    def _piece(self, piece: str, lead: str) -> bytes | None:
+        """Ids of a piece; None if it depends on its neighbours."""
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            return None
+        words, out = self.spaced if lead else self.words, []
+        for line in piece.split("\n"):
+            word = line.rstrip(MARKS)
+            if not word.isalpha():
+                return self._whole(lead + piece)
+            if out:
+                out.append(self.marks["\n"])
+                words = self.words
+            out.append(words[word])
+            if len(word) < len(line):
+                out.append(self.marks[line[len(word):]])
+        return b"".join(out)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text with the end id, as raw bytes."""
-        if len(self.first) + len(self.later) > CACHE_WORDS:
-            self.first, self.later = {}, {}
-        pieces = [t.split(" ") for t in texts]
-        self._learn(self.first, {p[0] for p in pieces}, "")
-        self._learn(self.later, set(chain.from_iterable(p[1:] for p in pieces)), " ")
-        result = []
-        for text, piece in zip(texts, pieces):
-            ids = [self.first[piece[0]], *map(self.later.__getitem__, piece[1:])]
-            result.append((self._whole([text])[0] if None in ids else b"".join(ids)) + self.end)
+        if len(self.first) + len(self.later) + len(self.words) + len(self.spaced) > CACHE_WORDS:
+            self._forget()
+        result, later = [], self.later.__getitem__
+        for text in texts:
+            start, *pieces = text.split(" ")
+            try:
+                ids = b"".join([self.first[start], *map(later, pieces)])
+            except TypeError:                 # a piece that cannot stand alone
+                ids = self._whole(text) if text else b""
+            result.append(ids + self.end)
         return result
 
 

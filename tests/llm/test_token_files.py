@@ -48,6 +48,17 @@ def test_hard_texts(spark, docs_of, tmp_path):
     assert sorted(map(tuple, result.collect()), key=sort_key) == brute(rows)
 
 
+def test_encoder_equals_the_library_on_random_texts():
+    rng = np.random.default_rng(9)
+    encoder, tokenizer = token_files.Encoder(PATH), Tokenizer.from_file(PATH)
+    bits = ["a", "the", "Über", "élan", "x1", "12", "'s", "'", "it's", "dogs'", ".", ",", "!!", "***", " ", " ", " ", "  ", "\n", "\n", "\n\n",
+            "\t", "\r\n", "é́", "漢字", "😀", "ª", "²", "\xa0", "_", "-", "—", "\x85", "<|endoftext|>", "|", "&&&", "I'll", "ſ", "ʰ", "ः"]
+    texts = ["".join(rng.choice(bits, rng.integers(0, 14))) for _ in range(20000)]
+    for part in (texts[:10000], texts[10000:]):
+        for text, ids in zip(part, encoder.encode(part)):
+            assert np.frombuffer(ids, "<u2")[:-1].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_empty_table_and_unknown_keys(spark, docs_of, tmp_path):
     path, result = written(docs_of([(1, "a")]).limit(0), tmp_path / "none")
     assert result.count() == 0
