@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rainloom.llm import common, decontaminate, mixing, quality, simhash, token_files, toxicity, url_rules
+from rainloom.llm import (
+    common, decontaminate, line_runs, mixing, pii, quality, simhash, suffix_dedup, token_files, toxicity, url_rules,
+)
 from rainloom.session import scratch_dir
 
 #: tokenizer file, on every executor
@@ -31,6 +33,11 @@ def op1_quality_rules(spark, sf_dir):
     return quality.score(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+@register
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.report(common.documents(spark, sf_dir))
+
+
 @register
 def op3_url_rules(spark, sf_dir):
     return url_rules.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), url_rules.rule_frame(spark))
@@ -39,6 +46,19 @@ def op3_url_rules(spark, sf_dir):
 SQL["op3_url_rules"] = url_rules.SQL
 
 
+@register
+def op4_pii(spark, sf_dir):
+    return pii.counts(common.documents(spark, sf_dir))
+
+
+@register
+def op5_line_runs(spark, sf_dir):
+    return line_runs.delete_runs(common.documents(spark, sf_dir))
+
+
+SQL["op5_line_runs"] = line_runs.SQL
+
+
 @register
 def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(common.documents(spark, sf_dir))
