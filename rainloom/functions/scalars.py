@@ -28,9 +28,14 @@ def nan_to_null(column: Column) -> Column:
     return F.when(~F.isnan(column), column)
 
 
-def to_double(column: Column) -> Column:
-    """Number from text or any numeric type; what cannot be read becomes NULL."""
-    return nan_to_null(column.try_cast("double"))
+#: a number as text files write it; the cast alone would also accept endings such as in ``1d``
+_PLAIN_NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+|inf|infinity)(?:e[+-]?\d+)?\s*$"
+
+
+def to_double(column: Column, text: bool = True) -> Column:
+    """Number from text (or, without ``text``, from any numeric type); the rest becomes NULL."""
+    number = nan_to_null(column.try_cast("double"))
+    return F.when(F.lower(column.cast("string")).rlike(_PLAIN_NUMBER), number) if text else number
 
 
 def yes_no_flag(column: Column) -> Column:

@@ -38,24 +38,41 @@ def encode_rain_today(df: DataFrame, column: str = RAIN_TODAY) -> DataFrame:
     return df.withColumn(column, yes_no_flag(F.col(column)).cast("double"))
 
 
-def parse_date_column(df: DataFrame, date_col: str = DATE, pattern: str = "yyyy-MM-dd") -> DataFrame:
+#: a padded ISO date, alone or with a time of day and an offset
+_ISO_DATE = r"^\s*(\d{4}-\d{2}-\d{2})(?:[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?\s*$"
+_UNPADDED_DATE = _ISO_DATE.replace("-\\d{2}-\\d{2})", "-\\d{1,2}-\\d{1,2})")
+
+
+def parse_date_column(
+    df: DataFrame, date_col: str = DATE, pattern: str | None = None, unpadded: bool = False,
+) -> DataFrame:
     """Turn text into a date and drop the rows where that fails."""
-    return coerce_date_column(df, date_col, pattern).where(F.col(date_col).isNotNull())
+    return coerce_date_column(df, date_col, pattern, unpadded).where(F.col(date_col).isNotNull())
 
 
-def coerce_date_column(df: DataFrame, date_col: str = DATE, pattern: str = "yyyy-MM-dd") -> DataFrame:
-    """Turn text into a date; what cannot be read becomes NULL and the row stays."""
+def coerce_date_column(
+    df: DataFrame, date_col: str = DATE, pattern: str | None = None, unpadded: bool = False,
+) -> DataFrame:
+    """Turn text into a date; what cannot be read becomes NULL and the row stays.
+
+    Without a ``pattern`` ISO dates are read, alone or followed by a time of day, which is dropped
+    as written. ``unpadded`` also reads months and days of one digit.
+    """
     kind = df.schema[date_col].dataType
     if isinstance(kind, T.DateType):
         return df
     if isinstance(kind, T.StringType):
-        return df.withColumn(date_col, F.try_to_date(F.col(date_col), pattern))
+        if pattern:
+            return df.withColumn(date_col, F.try_to_date(F.col(date_col), pattern))
+        day = F.regexp_extract(F.col(date_col), _UNPADDED_DATE if unpadded else _ISO_DATE, 1)
+        return df.withColumn(date_col, F.try_to_date(day, "yyyy-M-d" if unpadded else "yyyy-MM-dd"))
     return df.withColumn(date_col, F.col(date_col).cast("date"))
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC_COLUMNS)) -> DataFrame:
     """Read the listed columns as numbers where present; unreadable cells become NULL."""
-    present = {c: to_double(F.col(c)) for c in columns if c in df.columns}
+    present = {
+        c: to_double(F.col(c), text=isinstance(df.schema[c].dataType, T.StringType)) for c in columns if c in df.columns}
     return df.withColumns(present) if present else df
 
 

@@ -135,7 +135,7 @@ def monthly_box_stats(df: DataFrame, column: str = "MaxTemp", date_col: str = DA
 def year_month_pivot(df: DataFrame, column: str = "MaxTemp", date_col: str = DATE) -> DataFrame:
     """Mean per year (rows) and month (always twelve columns ``m1`` .. ``m12``)."""
     return (
-        df.select(F.year(date_col).alias("year"), F.month(date_col).alias("month"), F.col(column).alias("v"))
+        df.select(F.year(date_col).alias("year"), F.month(date_col).alias("month"), nan_to_null(F.col(column).cast("double")).alias("v"))
         .where(F.col("year").isNotNull())
         .groupBy("year").pivot("month", list(range(1, 13))).agg(F.avg("v"))
         .withColumnsRenamed({str(m): f"m{m}" for m in range(1, 13)})
@@ -149,7 +149,7 @@ def monthly_resample(
     """Calendar-month means per station, labelled by month end; months in a gap appear with NULLs."""
     known = df.where(F.col(location_col).isNotNull() & F.col(date_col).isNotNull())
     means = known.groupBy(location_col, F.last_day(date_col).alias("month_end")).agg(
-        *[F.avg(c).alias(c) for c in columns])
+        *[F.avg(nan_to_null(F.col(c).cast("double"))).alias(c) for c in columns])
     # stations x months rows from here on; the span reuses the aggregate above
     span = means.groupBy(location_col).agg(F.min("month_end").alias("a"), F.max("month_end").alias("b"))
     months = F.sequence(F.trunc("a", "month"), F.trunc("b", "month"), F.expr("interval 1 month"))
@@ -159,20 +159,22 @@ def monthly_resample(
 
 
 def rolling_mean(
-    df: DataFrame, column: str = "MaxTemp", series_col: str = LOCATION, date_col: str = DATE,
+    df: DataFrame, column: str = "MaxTemp", series_col: str | None = LOCATION, date_col: str = DATE,
     rows: int = 7,
 ) -> DataFrame:
     """Centred rolling mean over ``rows`` consecutive days of record, NULL unless all are known.
 
+    Without ``series_col`` the whole frame is one series.
+
     Each series is first reduced to one row per day (mean of the known values), so a window
     partition holds at most one row per calendar day however many rows a series has.
     """
-    half = rows // 2
+    half, keys = rows // 2, [series_col] if series_col else []
     daily = (
-        df.where(F.col(date_col).isNotNull()).groupBy(series_col, date_col)
+        df.where(F.col(date_col).isNotNull()).groupBy(*keys, date_col)
         .agg(F.avg(nan_to_null(F.col(column).cast("double"))).alias(column))
     )
-    frame = Window.partitionBy(series_col).orderBy(date_col).rowsBetween(-half, rows - 1 - half)
+    frame = Window.partitionBy(*keys).orderBy(date_col).rowsBetween(-half, rows - 1 - half)
     smooth = F.when(F.count(column).over(frame) == rows, F.avg(column).over(frame))
     return daily.withColumn(f"{column}_smooth", smooth)
 

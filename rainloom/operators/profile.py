@@ -45,11 +45,17 @@ def _column_stats(df: DataFrame, slot: str, fields: dict[int, Column], approxima
         distinct.alias("unique_values"))
 
 
+_REPORT_SCHEMA = (
+    "column string, dtype string, missing_count bigint, missing_rate double, missing_rate_pct double, unique_values bigint")
+
+
 def missing_report(
     df: DataFrame, columns: Sequence[str] | None = None, approximate: float | None = None,
 ) -> DataFrame:
     """One row per column: type, missing count, rate, rate in percent and distinct values.
 
+    A table without rows has counts of 0 and NULL rates.
+
     Each column is read once, in a group with the others of its kind. Equal values are merged
     before the shuffle, which is on (column, value), so a constant or mostly empty column costs
     nothing extra. ``approximate`` is the relative error allowed for the distinct counts; it
@@ -60,12 +66,16 @@ def missing_report(
     for i, f in enumerate(fields):
         slot, value = _typed_value(f)
         by_slot.setdefault(slot, {})[i] = value
+    if not fields:
+        return df.sparkSession.createDataFrame([], _REPORT_SCHEMA)
     stats, *more = [_column_stats(df, slot, values, approximate) for slot, values in by_slot.items()]
     for part in more:
         stats = stats.unionByName(part)
     names = F.array(*[F.lit(f.name) for f in fields])
     types = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])
-    rate = F.col("missing_count") / F.col("rows")
+    rate = F.try_divide("missing_count", "rows")          # NULL without rows
+    every = df.sparkSession.createDataFrame([(i,) for i in range(len(fields))], "c int")
+    stats = every.join(stats, "c", "left").fillna(0, ["rows", "missing_count", "unique_values"])
     return stats.select(
         names[F.col("c")].alias("column"),
         types[F.col("c")].alias("dtype"),

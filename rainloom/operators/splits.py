@@ -5,6 +5,9 @@ date or the class. Counts per group locate the group that holds the cut; inside
 the wanted rank is found by counting digest prefixes. The split itself is then a comparison with
 two literals: no shuffle of the table, and a group holding a large share of the rows is only
 counted, never gathered.
+
+Rows with one key are ordered by a digest of the whole row. Rows alike in every column cannot be told
+apart: if the cut falls among them, all of them go after it. Rows without a date come last in time.
 """
 
 from __future__ import annotations
@@ -21,12 +24,17 @@ from rainloom.schema import DATE, LOCATION, TARGET
 
 #: digests of one group fetched at once; larger groups are first narrowed by prefix
 FETCH_LIMIT = 4096
-PREFIX_STEP = 3        # hex digits per narrowing pass: at most 4096 counts
+PREFIX_STEP = 2        # hex digits per narrowing pass: at most 256 counts
+
+
+def row_order(df: DataFrame, tie_cols: Sequence[str], seed: int = 0) -> Column:
+    """Order of rows within a group: digest of the key columns, then of all columns."""
+    return F.concat(digest(*tie_cols, seed=seed), digest(*[F.col(f"`{c}`") for c in sorted(df.columns)]))
 
 
 @dataclass(frozen=True)
 class Cut:
-    """Rows before the cut have a smaller group, or the same group and a smaller digest."""
+    """Rows before the cut have a smaller group (NULL is the largest), or the same and a smaller digest."""
 
     position: int
     group: Any
@@ -34,13 +42,15 @@ class Cut:
 
     def before(self, group_col: str, key: Column) -> Column:
         group = F.col(group_col)
-        return (group < F.lit(self.group)) | ((group == F.lit(self.group)) & (key < F.lit(self.digest)))
+        if self.group is None:
+            return group.isNotNull() | (key < F.lit(self.digest))
+        return F.coalesce((group < F.lit(self.group)) | ((group == F.lit(self.group)) & (key < F.lit(self.digest))), F.lit(False))
 
 
 def _digest_at(slice_: DataFrame, rank: int, count: int) -> str:
-    """Digest with exactly ``rank`` smaller digests in the slice (column ``d``)."""
+    """The digest at ``rank`` in the sorted slice (column ``d``)."""
     prefix = ""
-    while count > FETCH_LIMIT and len(prefix) < 32:
+    while count > FETCH_LIMIT and len(prefix) < 64:
         width = len(prefix) + PREFIX_STEP
         counts = slice_.where(F.col("d").startswith(prefix)).groupBy(F.substring("d", 1, width).alias("p")).count()
         for part, n in sorted(map(tuple, counts.collect())):
@@ -48,13 +58,14 @@ def _digest_at(slice_: DataFrame, rank: int, count: int) -> str:
                 prefix, count = part, n
                 break
             rank -= n
-    if count > FETCH_LIMIT:
-        raise ValueError("key columns do not identify rows: too many rows share one key at the cut")
+    if count > FETCH_LIMIT:          # only rows alike in every column are left
+        return prefix
     found = [r[0] for r in slice_.where(F.col("d").startswith(prefix)).select("d").collect()]
-    found.sort()
-    if rank > 0 and found[rank - 1] == found[rank]:
-        raise ValueError("key columns do not identify rows: copies of one key lie on both sides of the cut")
-    return found[rank]
+    return sorted(found)[rank]
+
+
+def _in_group(df: DataFrame, group_col: str, group: Any) -> DataFrame:
+    return df.where(F.col(group_col).eqNullSafe(F.lit(group)))
 
 
 def find_cuts(
@@ -66,15 +77,15 @@ def find_cuts(
         if rank == 0:
             cuts.append(Cut(position, group, ""))
             continue
-        slice_ = df.where(F.col(group_col) == F.lit(group)).select(key.alias("d"))
+        slice_ = _in_group(df, group_col, group).select(key.alias("d"))
         cuts.append(Cut(position, group, _digest_at(slice_, rank, size)))
     return cuts
 
 
 def group_counts(df: DataFrame, group_col: str) -> list[tuple[Any, int]]:
-    """Rows per group value, sorted: one row per calendar day or class."""
-    counts = df.where(F.col(group_col).isNotNull()).groupBy(group_col).count().collect()
-    return sorted((r[0], r[1]) for r in counts)
+    """Rows per group value, sorted, NULL last: one row per calendar day or class."""
+    counts = [(r[0], r[1]) for r in df.groupBy(group_col).count().collect()]
+    return sorted([c for c in counts if c[0] is not None]) + [c for c in counts if c[0] is None]
 
 
 def chronological_cuts(
@@ -91,7 +102,7 @@ def chronological_cuts(
         passed += n
     if pending:
         raise ValueError(f"positions {pending} lie beyond the {passed} rows")
-    return find_cuts(df, date_col, digest(*tie_cols), wanted)
+    return find_cuts(df, date_col, row_order(df, tie_cols), wanted)
 
 
 def temporal_split(
@@ -100,7 +111,7 @@ def temporal_split(
 ) -> DataFrame:
     """Mark the first ``int(n * (1 - test_size))`` rows in time order ``train``, the rest ``test``.
 
-    ``tie_cols`` must identify a row. With ``whole_dates`` the boundary day goes entirely to test,
+    ``tie_cols`` order the rows of a day; they need not identify a row. With ``whole_dates`` the boundary day goes entirely to test,
     so that no day is on both sides.
     """
     if isinstance(date_col, str) and df.schema[date_col].dataType.typeName() != "date":
@@ -114,12 +125,12 @@ def temporal_split(
         passed = 0
         for day, n in counts:
             if position < passed + n:
-                train = F.col(date_col) < F.lit(day)
+                train = F.col(date_col) < F.lit(day) if day is not None else F.col(date_col).isNotNull()
                 break
             passed += n
     else:
         cut, = chronological_cuts(df, [position], date_col, tie_cols, counts)
-        train = cut.before(date_col, digest(*tie_cols))
+        train = cut.before(date_col, row_order(df, tie_cols))
     return df.withColumn(split_col, F.when(train, "train").otherwise("test"))
 
 
@@ -136,7 +147,7 @@ def time_series_folds(
     if size == 0:
         raise ValueError(f"{total} rows are too few for {n_splits} folds")
     starts = [total - size * k for k in range(n_splits, 0, -1)]
-    key = digest(*tie_cols)
+    key = row_order(df, tie_cols)
     block: Column = F.lit(0)
     for cut in chronological_cuts(df, starts, date_col, tie_cols, counts):
         block = block + F.when(cut.before(date_col, key), 0).otherwise(1)
@@ -151,24 +162,23 @@ def stratified_split(
 
     By default each row is placed by its own digest: no pass over the table, class shares hold in
     expectation. ``exact`` places ``test_size`` of every class exactly (largest remainders), by
-    cutting each class in digest order.
+    cutting each class in digest order; rows without a label are a class of their own.
     """
-    key = digest(*key_cols, seed=seed)
     if not exact:
-        test = digest_fraction(key) < F.lit(test_size)
+        test = digest_fraction(digest(*key_cols, seed=seed)) < F.lit(test_size)
         return df.withColumn(split_col, F.when(test, "test").otherwise("train"))
-    counts = group_counts(df, label_col)
+    key, counts = row_order(df, key_cols, seed), group_counts(df, label_col)
     total = sum(n for _, n in counts)
     quota = {g: n * test_size for g, n in counts}
     take = {g: int(q) for g, q in quota.items()}
     short = math.ceil(total * test_size) - sum(take.values())
-    for g in sorted(quota, key=lambda g: (take[g] - quota[g], g))[:max(short, 0)]:
+    for g in sorted(quota, key=lambda g: (take[g] - quota[g], g is None, g or 0))[:max(short, 0)]:
         take[g] += 1
     test = F.lit(False)
     partial = [(take[g], g, take[g], n) for g, n in counts if 0 < take[g] < n]
     for cut in find_cuts(df, label_col, key, partial):
-        test = test | ((F.col(label_col) == F.lit(cut.group)) & (key < F.lit(cut.digest)))
+        test = test | (F.col(label_col).eqNullSafe(F.lit(cut.group)) & (key < F.lit(cut.digest)))
     for g, n in counts:
         if take[g] == n:
-            test = test | (F.col(label_col) == F.lit(g))
+            test = test | F.col(label_col).eqNullSafe(F.lit(g))
     return df.withColumn(split_col, F.when(test, "test").otherwise("train"))

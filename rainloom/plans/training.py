@@ -49,7 +49,7 @@ def prepare_data(
     raw = normalise_missing(observations)
     report = profile.missing_report(raw, columns=[c for c in raw.columns if c not in key_cols[2:]])
     high = [r["column"] for r in profile.high_missing_columns(
-        raw, missing_threshold, exclude=[TARGET, *key_cols]).collect()]
+        raw, missing_threshold, exclude=[TARGET, *[c for c in key_cols if c not in (DATE, LOCATION)]]).collect()]
     if report_path:
         write_report(report, report_path)
     features = prepare_features(raw, high, drop_high_missing, keep=list(key_cols))

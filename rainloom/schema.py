@@ -37,7 +37,9 @@ IMPORT_DATE = "import_date"
 IMPORT_RUN_ID = "import_run_id"
 SOURCE_FILE = "source_file"
 AUDIT_COLUMNS = [IMPORT_DATE, IMPORT_RUN_ID, SOURCE_FILE]
-TECHNICAL_COLUMNS = ["id", *AUDIT_COLUMNS]
+#: audit columns by other names that observation tables carry
+OTHER_AUDIT_COLUMNS = ["date_import", "data_source", "run_id"]
+TECHNICAL_COLUMNS = ["id", *AUDIT_COLUMNS, *OTHER_AUDIT_COLUMNS]
 
 #: lower-case table name of each column -> name used by the analytics
 RAW_TO_OBSERVATION = {name.lower(): name for name in OBSERVATION_COLUMNS}

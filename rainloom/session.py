@@ -33,10 +33,15 @@ def build_session(app: str = "rainloom", master: str | None = None, **settings:
 
 
 def tune(spark: SparkSession) -> None:
-    """Apply the settings a running session can still take, unless the user chose other values."""
+    """Apply the settings a running session can still take, unless the user chose other values:
+    at the start, or since then (the value is no longer Spark's own default)."""
     chosen = dict(spark.sparkContext.getConf().getAll())
+    defaults = {
+        "spark.sql.codegen.hugeMethodLimit": "65535",
+        "spark.sql.session.timeZone": spark._jvm.java.util.TimeZone.getDefault().getID(),
+    }
     for key, value in _RUNTIME_SETTINGS.items():
-        if key not in chosen:
+        if key not in chosen and spark.conf.get(key) == defaults[key]:
             spark.conf.set(key, value)
 
 

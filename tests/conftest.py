@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from rainloom.functions.scalars import COMPASS_POINTS  # noqa: E402
-from rainloom.schema import OBSERVATION_COLUMNS  # noqa: E402
+from rainloom.schema import OBSERVATION_COLUMNS, WIND_COLUMNS  # noqa: E402
 from rainloom.session import build_session  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -26,30 +26,34 @@ def spark():
     yield session
 
 
-def make_rows(n: int = 12, seed: int = 7, stations=("Albury", "Sydney")) -> list[tuple]:
-    """Random observations, one per day, in column order of the format."""
-    random = np.random.default_rng(seed)
+FIRST_DAY = date(2017, 3, 5)
+STATIONS = ("Fenwick", "Saltmere", "Upper Holm")
+
 
-    def between(low, high):
-        return float(random.uniform(low, high))
+def make_rows(n: int = 12, seed: int = 7, stations=STATIONS) -> list[tuple]:
+    """Made-up observations, one per day from ``FIRST_DAY``, in column order of the format.
 
+    A day's temperature, dampness and wind drive its other measures; it rains on damp days, every
+    third day is followed by rain.
+    """
+    random = np.random.default_rng(seed)
     rows = []
     for i in range(n):
-        values = {
-            "Date": (date(2020, 1, 1) + timedelta(days=i)).isoformat(),
-            "Location": stations[i % len(stations)],
-            "MinTemp": between(5, 15), "MaxTemp": between(20, 35), "Rainfall": between(0, 10),
-            "Evaporation": between(0, 10), "Sunshine": between(0, 12),
-            "WindGustDir": COMPASS_POINTS[2 * i % 16], "WindGustSpeed": between(20, 60),
-            "WindDir9am": COMPASS_POINTS[2 * i % 16], "WindDir3pm": COMPASS_POINTS[(2 * i + 2) % 16],
-            "WindSpeed9am": between(0, 30), "WindSpeed3pm": between(0, 30),
-            "Humidity9am": between(30, 100), "Humidity3pm": between(20, 90),
-            "Pressure9am": between(1000, 1030), "Pressure3pm": between(1000, 1030),
-            "Cloud9am": float(random.integers(0, 9)), "Cloud3pm": float(random.integers(0, 9)),
-            "Temp9am": between(10, 25), "Temp3pm": between(15, 30),
-            "RainToday": "Yes" if i % 2 else "No", "RainTomorrow": "No" if i % 2 else "Yes",
+        warmth, damp, wind = 14 + 6 * np.sin(i / 9) + random.normal(0, 2), random.beta(2, 2), random.gamma(3, 6)
+        spread = 3 + random.exponential(4)
+        values = {c: 0.0 for c in OBSERVATION_COLUMNS}
+        values |= {
+            "Date": (FIRST_DAY + timedelta(days=i)).isoformat(), "Location": stations[i * 7 % len(stations)],
+            "MinTemp": warmth - spread, "MaxTemp": warmth + spread, "Temp9am": warmth - spread / 2, "Temp3pm": warmth + spread / 2,
+            "Rainfall": 12 * damp ** 3 + random.random(), "Evaporation": 9 * (1 - damp) + random.random(), "Sunshine": 11 * (1 - damp) + random.random(),
+            "WindGustSpeed": 12 + 1.8 * wind, "WindSpeed9am": wind, "WindSpeed3pm": wind + random.random() * 8,
+            "Humidity9am": 35 + 60 * damp, "Humidity3pm": 25 + 55 * damp + random.random() * 5,
+            "Pressure9am": 1012 + random.normal(0, 6), "Pressure3pm": 1010 + random.normal(0, 6),
+            "Cloud9am": float(round(8 * damp)), "Cloud3pm": float(random.integers(1, 8)),
+            "RainToday": "Yes" if damp > 0.5 else "No", "RainTomorrow": "Yes" if i % 3 == 2 else "No",
         }
-        rows.append(tuple(values[c] for c in OBSERVATION_COLUMNS))
+        values |= {c: str(random.choice(COMPASS_POINTS)) for c in WIND_COLUMNS}
+        rows.append(tuple(float(v) if isinstance(v, float) else v for v in (values[c] for c in OBSERVATION_COLUMNS)))
     return rows
 
 

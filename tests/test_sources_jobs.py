@@ -23,7 +23,7 @@ def write(path, text):
 
 
 HEADER = "Date,Location, Min Temp ,WindGustDir"
-LINES = '2020-01-01,"A, upon ""B""",NA,\n2020-1-2,Sydney,3.5,N\n,NA,x,NA\n'
+LINES = '2020-01-01,"A, upon ""B""",NA,\n2020-1-2,Saltmere,3.5,N\n,NA,x,NA\n'
 
 
 @pytest.fixture
@@ -34,13 +34,13 @@ def csv(tmp_path):
 def test_raw_text_keeps_every_cell(spark, csv):
     rows = sources.read_raw_text(spark, csv).collect()
     assert [tuple(r) for r in rows] == [
-        ("2020-01-01", 'A, upon "B"', "NA", ""), ("2020-1-2", "Sydney", "3.5", "N"), ("", "NA", "x", "NA")]
+        ("2020-01-01", 'A, upon "B"', "NA", ""), ("2020-1-2", "Saltmere", "3.5", "N"), ("", "NA", "x", "NA")]
 
 
 def test_csv_is_typed(spark, csv):
     df = sources.read_csv(spark, csv, [" Min Temp "])
     assert [tuple(r) for r in df.collect()] == [
-        (date(2020, 1, 1), 'A, upon "B"', None, None), (None, "Sydney", 3.5, "N"), (None, None, None, None)]
+        (date(2020, 1, 1), 'A, upon "B"', None, None), (None, "Saltmere", 3.5, "N"), (None, None, None, None)]
 
 
 def test_missing_file(spark, tmp_path):

@@ -50,10 +50,37 @@ def test_split_is_repeatable_and_ignores_row_order(spark):
     assert first == again
 
 
-def test_copies_of_a_key_at_the_cut_are_reported(spark):
-    df = frame(spark, [100]).withColumn("id", F.lit(1))
-    with pytest.raises(ValueError, match="do not identify rows"):
-        splits.temporal_split(df, 0.2, "Date", KEYS)
+@pytest.mark.parametrize("fetch", [4096, 4])
+def test_rows_of_one_key_are_told_apart_by_the_whole_row(spark, fetch, monkeypatch):
+    monkeypatch.setattr(splits, "FETCH_LIMIT", fetch)
+    df = frame(spark, [100]).withColumns({"v": F.col("id"), "id": F.lit(1)})
+    marked = splits.temporal_split(df, 0.2, "Date", KEYS)
+    assert marked.where("split = 'train'").count() == 80
+    folds = splits.time_series_folds(df, 3, "Date", KEYS).groupBy("block").count().collect()
+    assert {r["count"] for r in folds} == {25}
+    exact = splits.stratified_split(df, "y", KEYS, 0.2, exact=True)
+    assert exact.where("split = 'test'").count() == 20
+
+
+@pytest.mark.parametrize("fetch", [4096, 4])
+def test_rows_alike_in_every_column_go_after_the_cut(spark, fetch, monkeypatch):
+    monkeypatch.setattr(splits, "FETCH_LIMIT", fetch)
+    same = spark.createDataFrame([(date(2020, 1, 1), 1, 0)] * 10, "Date date, id bigint, y int")
+    assert splits.temporal_split(same, 0.2, "Date", KEYS).where("split = 'test'").count() == 10
+    copies = frame(spark, [4, 6]).unionByName(frame(spark, [4, 6]))
+    train = splits.temporal_split(copies, 0.25, "Date", KEYS).where("split = 'train'")
+    assert train.count() in (14, 15) and train.groupBy("id").count().where("count = 1").count() == 0
+
+
+def test_rows_without_a_date_come_last_and_count(spark):
+    df = frame(spark, [1] * 8).unionByName(spark.createDataFrame([(None, 90, 1), (None, 91, 0)], "Date date, id bigint, y int"))
+    marked = splits.temporal_split(df, 0.2, "Date", KEYS)
+    assert {r.id for r in marked.where("split = 'test'").collect()} == {90, 91}
+    half = splits.temporal_split(df, 0.1, "Date", KEYS)
+    assert half.where("split = 'test'").count() == 1
+    assert splits.temporal_split(df, 0.1, "Date", KEYS, whole_dates=True).where("split = 'test'").count() == 2
+    blocks = {r.block: r["count"] for r in splits.time_series_folds(df, 3, "Date", KEYS).groupBy("block").count().collect()}
+    assert blocks == {0: 4, 1: 2, 2: 2, 3: 2}
 
 
 @pytest.mark.parametrize("per_day", [[1] * 11, [2, 40, 3], [43]])
