@@ -99,6 +99,7 @@ ORDERS = """orders_text as (select o_orderkey, o_custkey,
 SQL["scan_csv"] = f"""with {ORDERS} select cast(o_orderkey as varchar) as o_orderkey,
   case when status not in ('NA', '') then status end as o_orderstatus,
   {_round('price', 'o_totalprice')}, try_cast(day as date) as o_orderdate from orders_text"""
+SQL["scan_csv_mixed_headers"] = SQL["scan_csv"]
 SQL["scan_raw_strings"] = f"""with {ORDERS} select cast(o_orderkey as varchar) as o_orderkey,
   status as o_orderstatus, day as o_orderdate from orders_text"""
 SQL["scan_json"] = f"select o_orderkey, {_round('o_totalprice', 'o_totalprice')}, o_orderstatus from orders"
@@ -117,6 +118,8 @@ SQL["import_stats"] = _with(
     "select concat('run-', cast(import_day as varchar)) as import_run_id, concat(status, '.csv') as source_file, "
     "count(*) as rows_imported from obs group by 1, 2", "import_day", "status")
 SQL["ingest_job"] = f"with {ORDERS} select status as o_orderstatus, count(*) as rows_imported from orders_text group by 1"
+SQL["ingest_mixed"] = """select import_run_id, count(*) as rows_visible, count(*) as rows_logged, cast(0 as bigint) as rows_rejected
+  from orders, (values ('batch'), ('stream')) as runs(import_run_id) group by 1"""
 SQL["stream_ingest"] = f"""with {ORDERS} select 'run-1' as import_run_id, status as o_orderstatus,
   count(*) as rows_imported, count(*) filter (where price is null) as na_cells from orders_text group by 1, 2"""
 
@@ -243,6 +246,10 @@ SQL["latest_observation"] = _with(
 SQL["feature_lookup"] = _with(
     f"select Date, Location, 'Rainfall' as feature, {_round('Rainfall', 'value')} from newest where rn = 1",
     "import_day", "status", ctes=NEWEST)
+_SAME_KEY = "'0|' || cast(Date as varchar) || '|' || Location"
+SQL["temporal_split_duplicates"] = _with(f"""select Date, Location, {IDS}, case when place <= floor(n * (1 - 0.2)) then 'train' else 'test' end as split
+  from (select *, count(*) over () as n, row_number() over (order by Date, md5({_SAME_KEY}),
+    md5({_SAME_KEY} || '|' || cast(line_no as varchar) || '|' || cast(order_key as varchar) || '|' || cast(part_key as varchar))) as place from obs)""")
 SQL["temporal_split"] = _with(f"select {KEY}, split from ({_split('obs')})")
 SQL["temporal_split_whole_dates"] = _with(
     f"select {KEY}, case when Date < (select Date from ranked where r = (select cast(floor(count(*) * "

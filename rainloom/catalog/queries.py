@@ -18,7 +18,7 @@ from rainloom.functions.features import (
 )
 from rainloom.operators import cleaning, explore, metrics, modeling, prepare, profile, splits, versions
 from rainloom.plans.features import featurize, prepare_features
-from rainloom.plans.ingest import ingest_files, ingest_frame
+from rainloom.plans.ingest import import_run, ingest_files, ingest_frame
 from rainloom.plans.training import prepare_data
 from rainloom.schema import (
     IMPORT_RUN_ID, NUMERIC_COLUMNS, OBSERVATION_COLUMNS, TARGET, WIND_COLUMNS,
@@ -93,6 +93,18 @@ def scan_csv(spark, sf_dir):
     return rounded(readers.read_csv(spark, _orders_csv(spark, sf_dir), ["o_totalprice"], "o_orderdate"))
 
 
+@register
+def scan_csv_mixed_headers(spark, sf_dir):
+    """Files whose headers name the same columns in different orders."""
+    base, orders = scratch_dir(spark, "orders-mixed"), _orders_text(spark, sf_dir)
+    names = orders.columns
+    for part, order in enumerate((names, names[::-1], [*names[2:], *names[:2]])):
+        rows = orders.where(F.col("o_orderkey").cast("bigint") % 3 == part).select(*order)
+        rows.write.option("header", True).csv(f"{base}/part={part}")
+    files = readers.read_csv(spark, f"{base}/part=*", ["o_totalprice"], "o_orderdate")
+    return rounded(files.select(*names))
+
+
 @register
 def scan_raw_strings(spark, sf_dir):
     return readers.read_raw_text(spark, _orders_csv(spark, sf_dir)).drop("o_totalprice")
@@ -107,8 +119,9 @@ def scan_json(spark, sf_dir):
     ])
     names = record.fieldNames()
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*names)
-    one = F.struct(*names)
-    wrapped = F.to_json(F.struct(F.array(one).alias("data")))
+    one, texts = F.struct(*names), F.struct(*[F.col(c).cast("string").alias(c) for c in names])
+    # numbers as numbers and as text, single records and lists
+    wrapped = F.to_json(F.struct(F.array(texts).alias("data")))
     document = F.when(F.col("o_orderkey") % 2 == 0, wrapped).otherwise(F.to_json(one))
     orders.select(document.alias("value")).write.text(path)
     return rounded(readers.read_json(spark, path, record, multi_line=False))
@@ -180,13 +193,34 @@ def ingest_job(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     base = scratch_dir(spark, "stream")
     columns = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
-    query = jobs.stream_ingest(spark, _orders_csv(spark, sf_dir), f"{base}/bronze", f"{base}/checkpoint",
+    query = jobs.stream_ingest(spark, _orders_csv(spark, sf_dir), f"{base}/bronze", f"{base}/checkpoint", f"{base}/log",
                                columns=columns, run_id="run-1")
     query.awaitTermination()
-    return tables.read_raw_table(spark, f"{base}/bronze").groupBy(IMPORT_RUN_ID, "o_orderstatus").agg(
+    seen = tables.read_raw_table(spark, f"{base}/bronze", f"{base}/log").withColumn(IMPORT_RUN_ID, _without_batch())
+    return seen.groupBy(IMPORT_RUN_ID, "o_orderstatus").agg(
         F.count(F.lit(1)).alias("rows_imported"), F.count_if(F.col("o_totalprice") == "NA").alias("na_cells"))
 
 
+def _without_batch():
+    """The run of a stream without the number of its batch."""
+    return F.regexp_replace(IMPORT_RUN_ID, "-[0-9]{6}$", "")
+
+
+@register
+def ingest_mixed(spark, sf_dir):
+    """A batch and a stream import into one table, read through the log, with the log's counts."""
+    base = scratch_dir(spark, "mixed")
+    run = import_run(spark, _orders_csv(spark, sf_dir), f"{base}/bronze", f"{base}/log", "batch")
+    if run["status"] != "success":
+        raise RuntimeError(run["error"])
+    jobs.stream_ingest(spark, _orders_csv(spark, sf_dir), f"{base}/bronze", f"{base}/checkpoint", f"{base}/log",
+                       run_id="stream").awaitTermination()
+    logged = tables.read_import_log(spark, f"{base}/log").groupBy(F.regexp_replace("run_id", "-[0-9]{6}$", "").alias(IMPORT_RUN_ID)).agg(
+        F.sum("rows_imported").alias("rows_logged"), F.sum("rows_rejected").alias("rows_rejected"))
+    seen = tables.read_raw_table(spark, f"{base}/bronze", f"{base}/log").withColumn(IMPORT_RUN_ID, _without_batch())
+    return seen.groupBy(IMPORT_RUN_ID).agg(F.count(F.lit(1)).alias("rows_visible")).join(logged, IMPORT_RUN_ID)
+
+
 # ---- cleaning --------------------------------------------------------------------------------
 
 @register
@@ -201,7 +235,11 @@ def encode_rain_today(spark, sf_dir):
 
 @register
 def parse_date(spark, sf_dir):
-    return cleaning.parse_date_column(observations(spark, sf_dir, "date_text").select(*ID, "date_text"), "date_text")
+    obs = observations(spark, sf_dir, "date_text").select(*ID, "date_text")
+    # every third text carries a time of day
+    timed = F.concat("date_text", F.when(F.col("order_key") % 2 == 0, " 09:30:00").otherwise("T09:30:00Z"))
+    text = F.when((F.col("order_key") % 3 == 0) & F.col("date_text").rlike("^[0-9]"), timed).otherwise(F.col("date_text"))
+    return cleaning.parse_date_column(obs.withColumn("date_text", text), "date_text")
 
 
 @register
@@ -337,6 +375,13 @@ def feature_lookup(spark, sf_dir):
     return rounded(versions.feature_lookup(_versions(spark, sf_dir), "Rainfall", ["Date", "Location"], tie_cols=ID))
 
 
+@register
+def temporal_split_duplicates(spark, sf_dir):
+    """A cut among rows of which many share the key (date, location)."""
+    rows = observations(spark, sf_dir).select("Date", "Location", *ID)
+    return splits.temporal_split(rows, 0.2, "Date", ["Date", "Location"])
+
+
 @register
 def temporal_split(spark, sf_dir):
     return splits.temporal_split(observations(spark, sf_dir), tie_cols=KEYS).select(*KEYS, "split")

@@ -33,12 +33,23 @@ def append_raw(df: DataFrame, path: str) -> None:
     df.write.mode("append").partitionBy(IMPORT_RUN_ID).parquet(path)
 
 
+def replace_run(df: DataFrame, path: str) -> None:
+    """Write the rows of one run; rows that an earlier attempt of the same run left are replaced."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(IMPORT_RUN_ID).parquet(path)
+
+
 def read_raw_table(spark: SparkSession, path: str, log_path: str | None = None) -> DataFrame:
-    """The raw table. With ``log_path`` only rows of runs logged as successful are visible, so a run
-    that failed half way never shows; the log prunes the run partitions at run time."""
+    """The raw table, of batch and stream imports alike. With ``log_path`` only rows of runs logged as
+    successful are visible, so a run that failed half way never shows; the log prunes the run
+    partitions at run time."""
     raw = spark.read.option("basePath", path).parquet(path)
     if log_path is None:
         return raw
-    done = spark.read.json(log_path).where(F.col("status") == "success").select(
-        F.col("run_id").alias(IMPORT_RUN_ID)).distinct()
+    done = read_import_log(spark, log_path).where(F.col("status") == "success").select(F.col("run_id").alias(IMPORT_RUN_ID))
     return raw.join(done, IMPORT_RUN_ID, "left_semi")
+
+
+def read_import_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """One row per run and status; a repeated attempt of a stream batch logs the same row again."""
+    log = spark.read.json(log_path)
+    return log.dropDuplicates(["run_id", "status"])

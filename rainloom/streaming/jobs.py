@@ -4,37 +4,49 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rainloom.operators.modeling import RainModel, batch_predict
-from rainloom.schema import DATE, IMPORT_RUN_ID, LOCATION, text_schema
-from rainloom.sources.readers import CSV_OPTIONS
-from rainloom.sources.tables import normalize_columns, with_audit_columns
+from rainloom.plans.ingest import import_run
+from rainloom.schema import DATE, LOCATION
+
+
+#: what a file stream tells of a file; the content is not read here
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def stream_ingest(
-    spark: SparkSession, landing_dir: str, table_path: str, checkpoint: str, archive_dir: str | None = None,
-    columns: Sequence[str] | None = None, run_id: str | None = None, max_files: int | None = None,
+    spark: SparkSession, landing_dir: str, table_path: str, checkpoint: str, log_path: str,
+    archive_dir: str | None = None, columns: Sequence[str] | None = None, run_id: str | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Import the files waiting in ``landing_dir`` and stop; run again for later files.
 
-    The checkpoint makes each file land exactly once. Spark moves a finished file to
-    ``archive_dir`` during the following run, never before its rows are committed. Rows per batch
-    are in the query's progress reports.
+    Every batch is a run of the raw table, ``<run_id>-<batch number>``, with its own log row and
+    counts, exactly as a batch import writes them; both share one table. A batch that is repeated
+    after a crash replaces its own rows. ``run_id`` defaults to a name made from the checkpoint path,
+    so it stays the same between starts. A file whose header does not fit stops the query. Spark
+    moves a finished file to ``archive_dir`` during a following run, never before its rows are
+    committed.
     """
-    reader = spark.readStream.schema(text_schema(list(columns) if columns else None)).options(**CSV_OPTIONS)
+    name = run_id or str(uuid.uuid5(uuid.NAMESPACE_URL, checkpoint))
+    reader = spark.readStream.format("binaryFile").schema(_FILES)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    raw = reader.csv(landing_dir)
-    text = raw.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in raw.columns], "_metadata.file_path")
-    audited = with_audit_columns(
-        text, datetime.now(timezone.utc), run_id or str(uuid.uuid4()), F.col("file_path")).drop("file_path")
-    return append_stream(normalize_columns(audited), table_path, checkpoint, [IMPORT_RUN_ID])
+
+    def land(batch: DataFrame, number: int) -> None:
+        paths = sorted(r["path"] for r in batch.select("path").distinct().collect())      # names of files only
+        if paths:
+            record = import_run(batch.sparkSession, paths, table_path, log_path, f"{name}-{number:06d}", columns=columns)
+            if record["status"] != "success":
+                raise RuntimeError(record["error"])
+
+    files = reader.load(landing_dir).select("path")
+    return files.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_score(

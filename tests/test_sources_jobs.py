@@ -140,8 +140,8 @@ def test_failed_import_leaves_nothing_visible(spark, tmp_path):
 def test_stream_import_is_exactly_once_and_archives_later(spark, tmp_path):
     base = str(tmp_path)
     def run():
-        stream_ingest(spark, f"{base}/landing", f"{base}/raw", f"{base}/cp", f"{base}/archive").awaitTermination()
-        return spark.read.parquet(f"{base}/raw")
+        stream_ingest(spark, f"{base}/landing", f"{base}/raw", f"{base}/cp", f"{base}/log", f"{base}/archive").awaitTermination()
+        return sources.read_raw_table(spark, f"{base}/raw", f"{base}/log")
     full_csv(f"{base}/landing/1.csv", make_rows())
     assert run().count() == 12
     assert run().count() == 12
@@ -153,6 +153,101 @@ def test_stream_import_is_exactly_once_and_archives_later(spark, tmp_path):
     assert {f.name for f in RAW_TABLE_SCHEMA} == set(got.columns)
 
 
+def test_headers_are_matched_by_name(spark, tmp_path):
+    base = str(tmp_path)
+    write(f"{base}/in/a b.csv", "Date,Location,MinTemp\n2020-01-01,A,1\n")
+    write(f"{base}/in/c.csv", "\ufeffLocation,MinTemp,Date\nB,2,2020-01-02\n")
+    write(f"{base}/in/d.csv", "")
+    rows = sources.read_raw_text(spark, f"{base}/in").orderBy("Date").collect()
+    assert [tuple(r) for r in rows] == [("2020-01-01", "A", "1"), ("2020-01-02", "B", "2")]
+    write(f"{base}/in/e.csv", "Date,Place,MinTemp\n2020-01-01,A,1\n")
+    with pytest.raises(ValueError, match="Place"):
+        sources.read_raw_text(spark, f"{base}/in")
+    with pytest.raises(ValueError, match="no header"):
+        sources.read_raw_text(spark, f"{base}/in/d.csv")
+
+
+def test_rows_with_a_wrong_number_of_cells(spark, tmp_path):
+    base = str(tmp_path)
+    path = write(f"{base}/in/r.csv", 'a,b\n1,2\n3\n4,5,6\n"7,7",\n')
+    with pytest.raises(Exception, match="wrong number of cells"):
+        sources.read_raw_text(spark, path).count()
+    assert {tuple(r) for r in sources.read_raw_text(spark, path, ragged="pad").collect()} == {("1", "2"), ("3", ""), ("4", "5"), ("7,7", "")}
+    record = ingest.ingest_files(spark, path, f"{base}/raw", f"{base}/log")
+    assert (record["status"], record["rows_imported"], record["rows_rejected"]) == ("success", 2, 2)
+    rejects = spark.read.parquet(ingest.rejects_path(f"{base}/raw"))
+    assert {r["_rejected"] for r in rejects.collect()} == {"3", "4,5,6"}
+
+
+def test_batch_and_stream_share_a_table(spark, tmp_path):
+    base = str(tmp_path)
+    full_csv(f"{base}/one/w.csv", make_rows(4))
+    ingest.ingest_files(spark, f"{base}/one/w.csv", f"{base}/raw", f"{base}/log")
+    full_csv(f"{base}/landing/1.csv", make_rows(3))
+    for _ in range(2):
+        stream_ingest(spark, f"{base}/landing", f"{base}/raw", f"{base}/cp", f"{base}/log").awaitTermination()
+    assert sources.read_raw_table(spark, f"{base}/raw", f"{base}/log").count() == 7
+    assert sources.read_raw_table(spark, f"{base}/raw").count() == 7
+    ingest.ingest_files(spark, f"{base}/one/w.csv", f"{base}/raw", f"{base}/log")
+    assert sources.read_raw_table(spark, f"{base}/raw", f"{base}/log").count() == 11
+    log = sources.read_import_log(spark, f"{base}/log")
+    assert sorted(r["rows_imported"] for r in log.collect()) == [3, 4, 4]
+    # a repeated attempt of a batch replaces its rows
+    run, = [r["run_id"] for r in log.collect() if r["rows_imported"] == 3]
+    ingest.import_run(spark, f"{base}/landing/1.csv", f"{base}/raw", f"{base}/log", run)
+    assert sources.read_raw_table(spark, f"{base}/raw", f"{base}/log").count() == 11
+    full_csv(f"{base}/landing/2.csv", make_rows(1))
+    write(f"{base}/landing/bad.csv", "x,y\n1,2\n")
+    with pytest.raises(Exception):
+        stream_ingest(spark, f"{base}/landing", f"{base}/raw", f"{base}/cp", f"{base}/log", columns=OBSERVATION_COLUMNS).awaitTermination()
+    assert sources.read_raw_table(spark, f"{base}/raw", f"{base}/log").count() == 11
+
+
+def test_a_failing_archive_undoes_the_import(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    for part in ("x", "y"):
+        full_csv(f"{base}/in/p={part}/w.csv", make_rows(2))
+    args = (spark, f"{base}/in/p=*", f"{base}/raw", f"{base}/log", f"{base}/archive")
+    move, calls = ingest._move, []
+
+    def failing(*given):
+        calls.append(given)
+        if len(calls) == 2:
+            raise OSError("no space")
+        return move(*given)
+
+    monkeypatch.setattr(ingest, "_move", failing)
+    record = ingest.ingest_files(*args)
+    assert record["status"] == "failed" and "no space" in record["error"] and record["archive_path"] == []
+    assert os.path.exists(f"{base}/in/p=x/w.csv") and os.path.exists(f"{base}/in/p=y/w.csv")
+    monkeypatch.setattr(ingest, "_move", move)
+    record = ingest.ingest_files(*args)           # files of one name in two folders
+    assert record["status"] == "success" and len(set(record["archive_path"])) == 2
+    assert sources.read_raw_table(spark, f"{base}/raw", f"{base}/log").count() == 4
+    assert not os.path.exists(f"{base}/in/p=x/w.csv")
+
+
+def test_json_numbers_as_text_and_broken_documents(spark, tmp_path):
+    path = write(f"{tmp_path}/j.json", '{"Date": "2020-01-01", "MinTemp": "13.4", "MaxTemp": 20}\n{"data": [{"MinTemp": "NA"}, {"MinTemp": "1d"}]}\n{"Date": \n')
+    with pytest.raises(Exception, match="no JSON document"):
+        sources.read_json(spark, path, multi_line=False).collect()
+    rows = sources.read_json(spark, path, multi_line=False, broken="keep").collect()
+    assert [(r.MinTemp, r.MaxTemp) for r in rows] == [(13.4, 20.0), (None, None), (None, None), (None, None)]
+    assert [r["_rejected"] for r in rows] == [None, None, None, '{"Date": ']
+
+
+@pytest.mark.parametrize("text,kept", [
+    ("2020-01-05 00:00:00", True), ("2020-01-05T09:00:00", True), ("2020-01-05T09:00:00.5+02:00", True), (" 2020-01-05", True),
+    ("2020-01-05 noon", False), ("2020-1-5", False), ("12020-01-05", False)])
+def test_dates_with_a_time_of_day(spark, text, kept):
+    from rainloom.operators import cleaning
+
+    df = spark.createDataFrame([(text,)], "Date string")
+    want = [date(2020, 1, 5)] if kept else []
+    assert [r.Date for r in cleaning.parse_date_column(df).collect()] == want
+    assert [r.Date for r in cleaning.parse_date_column(df, unpadded=True).collect()] == (want or [date(2020, 1, 5)] * (text == "2020-1-5"))
+
+
 def test_audit_literal_instant(spark):
     df = sources.with_audit_columns(spark.range(1), datetime(2024, 5, 1, 6, 30, tzinfo=timezone.utc), "r", "f")
     assert df.selectExpr("cast(import_date as string)").first()[0] == "2024-05-01 06:30:00"
