@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rainloom.functions.scalars import nan_to_null
@@ -19,22 +20,41 @@ def corr_matrix(
 ) -> DataFrame:
     """Pearson correlation of every column pair over the rows where both are known.
 
-    One scan. The matrix is symmetric, so only the pairs below the diagonal are computed;
-    ``lower_triangle`` returns just those. Each task sends one row per pair to the shuffle.
+    Two scans: means, then masked cross products of the centred values, one matrix product per Arrow
+    batch; each task sends four small matrices to the shuffle. ``lower_triangle`` returns the pairs
+    below the diagonal only. The correlation with a constant column is NULL.
     """
-    pairs = list(combinations(range(len(columns)), 2))
-    pairs += [(i, i) for i in range(len(columns))] if not lower_triangle else []
-    packed = df.select(F.array(*[nan_to_null(F.col(c).cast("double")) for c in columns]).alias("v"))
-    # one row per pair and observation, merged at once into one running correlation per pair
-    cells = packed.select("v", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])).alias("p"))
+    columns = list(columns)
+    values = [nan_to_null(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)]
+    packed = df.select(*values)
+    means = packed.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in packed.columns]).first()
+    centre = np.array([float(m) for m in means])
+    size = len(columns)
+
+    def products(batches):
+        sums = np.zeros((4, size, size))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - centre
+            known = ~np.isnan(x)
+            x = np.where(known, x, 0.0)
+            mask = known.astype(float)
+            sums += np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
+        yield pa.RecordBatch.from_arrays([pa.array([part.ravel()]) for part in sums], names=list("nspq"))
+
+    # n: rows where both are known; s and p: sums of the first and of its square over them; q: of the product
+    tasks = packed.mapInArrow(products, "n array<double>, s array<double>, p array<double>, q array<double>")
+    cells = tasks.select(F.posexplode(F.arrays_zip("n", "s", "p", "q")).alias("at", "m")).groupBy("at").agg(
+        *[F.sum(f"m.{c}").alias(c) for c in "nspq"])
+    both = cells.withColumns({"i": F.floor(F.col("at") / size).cast("int"), "j": (F.col("at") % size).cast("int")})
+    other = both.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("s").alias("t"), F.col("p").alias("u"))
+    shared = F.col("q") - F.try_divide(F.col("s") * F.col("t"), F.col("n"))
+    spread = (F.col("p") - F.try_divide(F.col("s") * F.col("s"), F.col("n"))) * (F.col("u") - F.try_divide(F.col("t") * F.col("t"), F.col("n")))
+    whole = both.join(other, ["i", "j"])
+    below = F.col("i") < F.col("j") if lower_triangle else F.col("i") <= F.col("j")
+    # rounding leaves a trace of spread in a constant column
+    trace = F.lit(1e-24) * F.col("p") * F.col("u")
+    found = whole.where(below).select("i", "j", F.when(spread > trace, shared / F.sqrt(spread)).alias("correlation"))
     names = F.array(*[F.lit(c) for c in columns])
-    first, second = F.col("v")[F.col("p.i")], F.col("v")[F.col("p.j")]
-    joint = cells.select(
-        "p.i", "p.j", F.when(second.isNotNull(), first).alias("a"), F.when(first.isNotNull(), second).alias("b"))
-    # the built-in correlation fails on a constant column, so the quotient is taken here
-    found = joint.groupBy("i", "j").agg(F.try_divide(
-        F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b")).alias("correlation"))
     # exactly 1 on the diagonal of any column that varies
     value = F.when((F.col("i") == F.col("j")) & F.col("correlation").isNotNull(), F.lit(1.0)).otherwise(
         F.col("correlation"))
@@ -102,6 +122,29 @@ def kde(df: DataFrame, column: str, grid_points: int = 200) -> DataFrame:
     )
 
 
+def kde_columns(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC_COLUMNS), grid_points: int = 200) -> DataFrame:
+    """``kde`` of several columns from one scan each for ranges and densities, with their names.
+
+    Columns with fewer than two distinct values have no density and give no rows.
+    """
+    names = F.array(*[F.lit(c) for c in columns])
+    packed = df.select(F.array(*[nan_to_null(F.col(c).cast("double")) for c in columns]).alias("a"))
+    known = packed.select(F.posexplode("a").alias("k", "x")).where(F.col("x").isNotNull())
+    stats = known.groupBy("k").agg(
+        F.count("x").alias("n"), F.stddev_samp("x").alias("deviation"), F.min("x").alias("low"), F.max("x").alias("high"),
+    ).where("n > 1 and low < high").select(
+        "k", "n", "low", (F.col("deviation") * F.pow("n", F.lit(-0.2))).alias("width"), ((F.col("high") - F.col("low")) / (grid_points - 1)).alias("step"))
+    weights = known.groupBy("k", "x").agg(F.count(F.lit(1)).alias("w"))
+    grid = F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("grid")
+    # one row per column on the right
+    spread = weights.join(F.broadcast(stats), "k").select("k", "x", "w", "n", "low", "width", "step", grid)
+    distance = (F.col("low") + F.col("grid") * F.col("step") - F.col("x")) / F.col("width")
+    scale = F.col("n") * F.col("width") * math.sqrt(2 * math.pi)
+    summed = spread.groupBy("k", "grid").agg(
+        F.sum(F.col("w") * F.exp(-0.5 * distance * distance) / scale).alias("density"), F.first(F.col("low") + F.col("grid") * F.col("step")).alias("x"))
+    return summed.select(names[F.col("k")].alias("column"), "grid", "x", "density")
+
+
 def monthly_box_stats(df: DataFrame, column: str = "MaxTemp", date_col: str = DATE) -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 IQR) and outlier count per calendar month.
 

@@ -4,11 +4,11 @@ from rainloom.operators.prepare.encoding import (
 from rainloom.operators.prepare.imputation import (
     GaussianImputer, fit_gaussian_imputer, mean_impute, missing_indicator,
 )
-from rainloom.operators.prepare.preparation import Preparation, fit_preparation
+from rainloom.operators.prepare.preparation import Preparation, Preprocessor, build_preprocessor, fit_preparation
 from rainloom.operators.prepare.scaling import RobustScale, fit_robust_scale
 
 __all__ = [
-    "GaussianImputer", "Preparation", "RobustScale", "fit_gaussian_imputer", "fit_one_hot",
+    "GaussianImputer", "Preparation", "Preprocessor", "RobustScale", "build_preprocessor", "fit_gaussian_imputer", "fit_one_hot",
     "fit_preparation", "fit_robust_scale", "fit_target_encoding", "mean_impute", "missing_indicator",
     "mode_impute", "most_frequent", "target_encode", "target_encode_oof",
 ]

@@ -14,12 +14,13 @@ def latest_observation(
     df: DataFrame, keys: Sequence[str] = ("date", "location"), version_col: str = IMPORT_DATE,
     tie_cols: Sequence[str] = (), columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """For every key, the row with the greatest version (then the greatest ``tie_cols``).
+    """For every key, the row with the greatest version (then the greatest ``tie_cols``, then the
+    greatest hash of the row, so that reruns agree).
 
     A maximum per key combines on the map side: a key with many versions sends one row per task.
     """
     chosen = [c for c in (columns or df.columns) if c not in keys]
-    order = F.struct(*[F.col(c) for c in (version_col, *tie_cols)])
+    order = F.struct(*[F.col(c) for c in (version_col, *tie_cols)], F.xxhash64(*[F.col(c) for c in chosen]))
     newest = df.groupBy(*keys).agg(F.max_by(F.struct(*chosen), order).alias("_r"))
     return newest.select(*keys, "_r.*")
 

@@ -121,7 +121,7 @@ def exploration_report(
         "rain_rate": profile.rain_rate_topk(df),
         "smoothed_series": explore.rolling_mean(df, column),
         "distributions": explore.histogram(df, columns, 35),
-        "density": explore.kde(df, column),
+        "density": explore.kde_columns(df, columns),
         "correlations": explore.corr_matrix(df, columns, lower_triangle=True),
         "monthly_boxes": explore.monthly_box_stats(df, column),
         "year_month": explore.year_month_pivot(df, column),

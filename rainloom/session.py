@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +23,7 @@ _RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 _local_scratch: dict[str, str] = {}
+_scopes = threading.local()
 
 
 def build_session(app: str = "rainloom", master: str | None = None, **settings: str) -> SparkSession:
@@ -63,11 +67,43 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def scratch_scope(spark: SparkSession, everything: bool = False) -> Iterator[None]:
+    """Remove what ``materialize`` writes inside the block when it ends, for good or bad.
+
+    Tables written with ``keep`` outlive the block (they belong to an enclosing one, if any), unless
+    it removes ``everything``.
+    """
+    mine: list[tuple[str, bool]] = []
+    scopes = _scopes.__dict__.setdefault("open", [])
+    scopes.append(mine)
+    try:
+        yield
+    finally:
+        scopes.pop()
+        for path, keep in mine:
+            if keep and not everything:
+                if scopes:
+                    scopes[-1].append((path, keep))
+            else:
+                remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once to shared scratch space and read it back.
 
-    Cuts lineage: a lost executor costs a re-read, not a recomputation of everything before.
+    Cuts lineage: a lost executor costs a re-read, not a recomputation of everything before. The
+    enclosing ``scratch_scope`` of the thread removes it, unless it is marked ``keep``.
     """
     path = scratch_dir(df.sparkSession, name)
+    scopes = _scopes.__dict__.get("open")
+    if scopes:
+        scopes[-1].append((path, keep))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -267,3 +267,50 @@ def test_search_picks_the_first_best(spark, fitted):
     means = {r.candidate: r.mean_f1 for r in rows}
     best = min(c for c in means if means[c] == max(means.values()))
     assert found.best_params["n_estimators"] == [1, 3][best] and found.best_score == means[best]
+
+
+def test_fits_leave_no_scratch_tables(spark, tmp_path, monkeypatch):
+    import os
+
+    from rainloom import session
+
+    base = str(tmp_path / "scratch")
+    monkeypatch.setattr(session, "scratch_dir", lambda spark, name: f"{base}/{name}-{os.urandom(6).hex()}")
+    for module in ("modeling",):
+        monkeypatch.setattr(f"rainloom.operators.{module}.scratch_dir", session.scratch_dir)
+    raw = observations(spark, 240)
+    data = temporal_split(prepare_features(raw, keep=["Date"]), 0.2, "Date", KEYS)
+    train = data.where("split = 'train'").drop("split")
+    found = modeling.grid_search(train, KEYS, {"n_estimators": [2], "num_leaves": [7]}, n_splits=2, max_iter=2)
+    assert found.scores.count() == 2
+    assert not [f for f in os.listdir(base) if not f.startswith("trees")]
+    model = modeling.fit_model(train, {"n_estimators": 2, "num_leaves": 7}, KEYS, max_iter=2)
+    left = [f for f in os.listdir(base) if not f.startswith("trees")]
+    assert len(left) == 1 and left[0].startswith("categories")
+    assert model.transform(data.where("split = 'test'"), ["Date"]).count() == 48
+
+
+def test_unfitted_preprocessor_is_stored_and_fitted(spark, tmp_path):
+    from rainloom.operators import prepare
+
+    plan = prepare.build_preprocessor(["MinTemp", "Humidity3pm"], ["Location"], ["Date", "Location"], max_iter=2)
+    plan.save(spark, f"{tmp_path}/plan")
+    again = prepare.Preprocessor.load(spark, f"{tmp_path}/plan")
+    assert again == plan
+    raw = observations(spark, 120)
+    features = prepare_features(raw, keep=["Date"])
+    fitted_, ready = again.fit(features)
+    assert ready.count() == 120 and fitted_.transform(features, ["Date"]).columns == ["Date", "features"]
+
+
+def test_nan_counts_as_missing_when_fitting(spark):
+    from rainloom.operators import prepare
+
+    values = [float("nan") if i % 3 == 0 else float(i) for i in range(1000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    known = [v for v in values if v == v]
+    scale = prepare.fit_robust_scale(df, ["x"])
+    low, middle, high = np.percentile(known, [25, 50, 75])
+    assert scale.centre == [middle] and scale.scale == [pytest.approx(high - low)]
+    filled = [r.x for r in prepare.mean_impute(df, ["x"]).collect()]
+    assert filled[0] == pytest.approx(np.mean(known)) and not np.isnan(filled).any()

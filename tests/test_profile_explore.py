@@ -209,3 +209,25 @@ def test_hot_key_lookup_is_salted(spark):
     joined = lookup.lookup_join(df, table, ["k"], lookup.BROADCAST_ROWS + 1, ["id"])
     assert joined.count() == 1000
     assert {(r.v, r["count"]) for r in joined.groupBy("v").count().collect()} == {(1.0, 900), (2.0, 1), (None, 99)}
+
+
+def test_nan_and_empty_tables(spark):
+    df = spark.createDataFrame([(date(2021, 3, 1), "a", 1.0), (date(2021, 3, 2), "a", float("nan")), (date(2021, 3, 3), "a", 4.0)], "Date date, Location string, MaxTemp double")
+    assert explore.year_month_pivot(df).first().m3 == 2.5
+    assert explore.monthly_resample(df, ["MaxTemp"]).first().MaxTemp == 2.5
+    assert explore.rolling_mean(df.where("MaxTemp < 9"), series_col=None, rows=1).count() == 2
+    empty = profile.missing_report(df.limit(0)).collect()
+    assert [(r["column"], r.missing_count, r.missing_rate, r.unique_values) for r in sorted(empty)] == [
+        (c, 0, None, 0) for c in ("Date", "Location", "MaxTemp")]
+    assert profile.missing_report(df, columns=[]).count() == 0
+    assert all(r.correlation is None for r in explore.corr_matrix(df.limit(0), ["MaxTemp"]).collect())
+    for frame in (explore.kde_columns(df.limit(0), ["MaxTemp"]), explore.year_month_pivot(df.limit(0))):
+        assert frame.count() == 0
+
+
+def test_densities_of_all_columns_equal_single_ones(holes):
+    many = explore.kde_columns(holes, ["MaxTemp", "Humidity3pm"], 50)
+    for c in ("MaxTemp", "Humidity3pm"):
+        want = {r.grid: (r.x, r.density) for r in explore.kde(holes, c, 50).collect()}
+        got = {r.grid: (r.x, r.density) for r in many.where(many["column"] == c).collect()}
+        assert set(got) == set(want) and all(got[g] == pytest.approx(want[g]) for g in got)
