@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__
+import corpus_pipeline
+from rainloom.llm import common, decontaminate, mixing, quality, simhash
+from rainloom.session import materialize
+from tests.llm.conftest import SF
+from tests.llm.test_decontaminate import brute as items_in
+from tests.llm.test_quality import brute as base_rules
+from tests.llm.test_simhash import brute_components, brute_print
+from tests.llm.test_token_files import brute as tokens
+
+DATA = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def results(spark):
+    docs, out = common.documents(spark, DATA), [common.documents(spark, DATA)]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, DATA), name)
+        out.append(docs)
+    return out
+
+
+def rows_of(docs):
+    return [tuple(r) for r in docs.select("doc_id", "text").collect()]
+
+
+def test_all_but_the_last_stage_keep_the_columns(results):
+    assert all(r.dtypes == results[0].dtypes for r in results[1:-1])
+
+
+def test_quality_keeps_what_passes_the_rules_and_the_classifier(spark, results):
+    kept = {i for i, _ in rows_of(results[1])}
+    failed = {i for i, t in rows_of(results[0]) if base_rules(t)[-1]}
+    assert not kept & failed
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    judged = quality.score(results[0], quality.fit(results[0], labels))
+    assert kept == {r["doc_id"] for r in judged.where("kept").collect()}
+    good = {r["doc_id"] for r in labels.where("quality = 1").collect()} - failed
+    assert len(good & kept) > 0.98 * len(good)
+
+
+def test_one_document_of_each_component_stays(results):
+    before = rows_of(results[1])
+    want = {c for _, _, c in brute_components([i for i, _ in before], [brute_print(t) for _, t in before])}
+    assert sorted(i for i, _ in rows_of(results[2])) == sorted(want)
+
+
+def test_contaminated_documents_go(spark, results):
+    bench = [tuple(r) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    before, after = rows_of(results[2]), {i for i, _ in rows_of(results[3])}
+    exact = {i for i, t in before if any(decontaminate.normalise(x) in decontaminate.normalise(t) for _, x in bench)}
+    gone = {i for i, _ in before} - after
+    assert exact and exact <= gone
+    texts = dict(before)
+    for i in sorted(gone - exact)[:3]:
+        assert items_in(texts[i], bench)
+
+
+def test_mixture_repeats_documents_as_counted(results):
+    times = Counter(i for i, _ in rows_of(results[4]))
+    for r in mixing.mix_counts(results[3]).collect():
+        assert r["taken"] == times[r["doc_id"]] * r["size"] or not r["size"]
+    assert set(times) <= {i for i, _ in rows_of(results[3])} and max(times.values()) <= 2
+
+
+def test_tokens_of_every_mixed_document(results):
+    found = sorted((tuple(r) for r in results[5].collect()), key=lambda r: r[1])
+    assert found == tokens(rows_of(results[4]))
+
+
+def test_registered_run(spark):
+    first = __spark_entry__.queries()["pipeline"](spark, SF).collect()
+    assert first and sorted(map(tuple, first)) == sorted(map(tuple, corpus_pipeline.run(spark, SF).collect()))
+
+
+def test_stages_survive_hard_and_empty_documents(spark, docs_of):
+    from tests.llm.conftest import HARD_TEXTS
+
+    for docs in (docs_of(HARD_TEXTS), docs_of(HARD_TEXTS).limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            assert stage(spark, docs, SF).count() >= 0
+        docs = docs.where(F.lit(True))
+
+
+def test_near_duplicates_keeps_rows_without_ids(spark, docs_of):
+    docs = docs_of([(None, "a b c d"), (None, "a b c d"), (2, "a b c d"), (1, "a b c d")])
+    assert sorted(str(r["doc_id"]) for r in simhash.keep_one(docs).collect()) == ["1", "None", "None"]
