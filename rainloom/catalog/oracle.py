@@ -357,3 +357,12 @@ SQL["average_precision"] = _with(
     + " from curve", "score", ctes=CURVE)
 
 assert [c for c, _ in COLUMNS][:23] == OBSERVATION_COLUMNS
+
+# ---- what is written and read back ----
+SQL["report_top10"] = f"""select "column", dtype, missing_count, unique_values from ({SQL["missing_report"]})
+  order by missing_count desc, "column" limit 10"""
+SQL["persisted_splits"] = _with(f"select {COMMA.join(KEYS)}, {TARGET} from parts where split = 'test'", ctes=SPLIT)
+SQL["metrics_log"] = SQL["confusion_metrics"]
+SQL["predictions_csv"] = SQL["threshold_label"]
+SQL["drop_unused"] = _with(f"select {COMMA.join(TEXT)}, {_rounded(NUMERIC_COLUMNS)}, {IDS} from obs")
+SQL["scan_series"] = f"select o_orderkey, o_totalprice, o_orderdate from ({SQL['scan_csv']})"

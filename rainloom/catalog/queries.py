@@ -24,7 +24,7 @@ from rainloom.schema import (
     IMPORT_RUN_ID, NUMERIC_COLUMNS, OBSERVATION_COLUMNS, TARGET, WIND_COLUMNS,
 )
 from rainloom.session import materialize, scratch_dir, tune
-from rainloom.sources import readers, tables
+from rainloom.sources import readers, tables, writers
 from rainloom.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -324,6 +324,62 @@ def split_counts(spark, sf_dir):
     return profile.split_counts(splits.temporal_split(_labelled(spark, sf_dir), tie_cols=KEYS))
 
 
+# ---- what is written and read back -----------------------------------------------------------
+
+@register
+def report_top10(spark, sf_dir):
+    """The written report's ten columns with most missing cells."""
+    path = scratch_dir(spark, "report")
+    writers.write_report(profile.missing_report(observations(spark, sf_dir), OBSERVATION_COLUMNS), path)
+    back = spark.read.option("header", True).csv(path).select(
+        "column", "dtype", F.col("missing_count").cast("bigint").alias("missing_count"), F.col("unique_values").cast("bigint").alias("unique_values"))
+    return back.orderBy(F.desc("missing_count"), "column").limit(10)
+
+
+@register
+def persisted_splits(spark, sf_dir):
+    """Splits written apart; the test side read without the other."""
+    path = scratch_dir(spark, "splits")
+    writers.write_splits(splits.temporal_split(_labelled(spark, sf_dir), tie_cols=KEYS), path)
+    return spark.read.parquet(path).where("split = 'test'").select(*KEYS, TARGET)
+
+
+@register
+def metrics_log(spark, sf_dir):
+    """Figures of a run appended to the log and read back."""
+    path = scratch_dir(spark, "metrics")
+    figures = metrics.confusion_metrics(_scored(spark, sf_dir), "label", "prediction").first().asDict()
+    writers.append_metrics(spark, path, "run-1", {"threshold": 0.5}, figures)
+    names = ["tp", "fp", "fn", "tn", "accuracy", "precision", "recall", "f1"]
+    return rounded(readers.read_metrics(spark, path).select(*names))
+
+
+@register
+def predictions_csv(spark, sf_dir):
+    """Scored rows with their keys, written as CSV and read back."""
+    path = scratch_dir(spark, "predictions")
+    scored = observations(spark, sf_dir, "score").select(*ID, F.col("score").alias("probability"))
+    writers.write_predictions(cleaning.threshold_label(scored), path, "csv")
+    keys = ", ".join(f"{c} {scored.schema[c].dataType.simpleString()}" for c in ID)
+    back = spark.read.schema(f"{keys}, probability double, rain_tomorrow string").option("header", True).csv(path)
+    return rounded(back)
+
+
+@register
+def drop_unused(spark, sf_dir):
+    """Date and audit columns of either naming go."""
+    audited = tables.with_audit_columns(observations(spark, sf_dir), IMPORT_MOMENT, "run-1", "lineitem")
+    audited = audited.withColumns({"run_id": F.lit("r"), "data_source": F.lit("d"), "date_import": F.lit("x")})
+    return rounded(cleaning.drop_unused_columns(audited))
+
+
+@register
+def scan_series(spark, sf_dir):
+    """Date-keyed measures from text files."""
+    series = readers.read_series(spark, _orders_csv(spark, sf_dir), ["o_totalprice"], "o_orderdate")
+    return rounded(series.select("o_orderkey", "o_totalprice", "o_orderdate"))
+
+
 # ---- exploration -----------------------------------------------------------------------------
 
 @register
