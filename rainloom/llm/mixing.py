@@ -26,14 +26,19 @@ WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 MAX_REPEATS = 2
 SEED = 17
-#: words of one block, about; and the levels of the tree (``2 ** LEVELS`` shards)
+#: words of one block, and of one task's part of an output shard, about
 BLOCK_WORDS = 20_000
-LEVELS = 4
+PART_WORDS = 2_000_000
+#: the tree has as many levels as the words ask for, this many at most; more words split the shards
+MAX_LEVELS = 12
 #: most blocks of one source; beyond it blocks grow, so the tree's work does not
 MAX_BLOCKS = 65_536
 #: bits of a permuted position
 POSITION_BITS = 32
 
+#: names of helper columns beside those of the documents
+_KEY, _AT = "__mix_key", "__mix_at"
+
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -146,7 +151,7 @@ def _planned(slim: DataFrame) -> DataFrame:
         F.when(F.col("state") == 2, F.coalesce("_in", F.lit(0))).otherwise(F.col("state")).alias("extra"))
 
 
-def split_quotas(quotas: DataFrame, levels: int = LEVELS) -> DataFrame:
+def split_quotas(quotas: DataFrame, levels: int) -> DataFrame:
     """(shard, source, n): the quotas (source, n) split among ``2 ** levels`` shards.
 
     A node's row holds its urn, one entry per source. The left child gets half of the node's blocks
@@ -183,7 +188,7 @@ def split_quotas(quotas: DataFrame, levels: int = LEVELS) -> DataFrame:
     return node.select((F.col("node") - (1 << levels)).alias("shard"), F.explode("urn").alias("q")).select("shard", "q.source", "q.n")
 
 
-def assign(planned: DataFrame, levels: int = LEVELS) -> DataFrame:
+def assign(planned: DataFrame, levels: int) -> DataFrame:
     """(key, shards): the output shard of every time a document is taken, from ``_planned`` rows."""
     taken = planned.withColumn("times", F.col("whole") + F.col("extra"))
     units = taken.where("times > 0").groupBy("source", "block").agg(F.max("times").alias("times"))
@@ -201,17 +206,24 @@ def assign(planned: DataFrame, levels: int = LEVELS) -> DataFrame:
     return rows.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("pass", "shard"))).alias("shards"))
 
 
-def mix(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
+def mix(docs: DataFrame, levels: int | None = None) -> DataFrame:
     """The mixed rows: every document as often as it is taken, with the columns of ``docs``.
 
-    Rows are grouped by output shard and shuffled within it.
+    Rows are grouped by output shard (``2 ** levels``, by default enough for ``PART_WORDS`` words
+    each) and shuffled within it; the shards of a very large mixture are spread over several tasks.
     """
     names = docs.columns
-    shards = assign(materialize(plan(docs), "mix-plan"), levels)
-    keyed = docs.withColumn("_key", _key())
-    rows = keyed.join(shards.select(F.col("key").alias("_key"), F.explode("shards").alias("_at")), "_key")
-    spread = rows.repartition(1 << levels, F.col("_at.shard")).sortWithinPartitions(
-        F.col("_at.shard"), _hash("_key", F.col("_at.pass"), salt=6))
+    planned = materialize(plan(docs), "mix-plan")
+    words = planned.agg(F.sum(F.col("size") * (F.col("whole") + F.col("extra")))).first()[0] or 0
+    wanted = max(int(words) // PART_WORDS, 1).bit_length() - 1
+    levels = min(wanted, MAX_LEVELS) if levels is None else levels
+    parts = max(wanted - levels, 0)
+    shards = assign(planned, levels)
+    keyed = docs.withColumn(_KEY, _key())
+    rows = keyed.join(shards.select(F.col("key").alias(_KEY), F.explode("shards").alias(_AT)), _KEY)
+    order = _hash(_KEY, F.col(f"{_AT}.pass"), salt=6)
+    part = F.pmod(order, F.lit(1 << parts))
+    spread = rows.repartition(1 << (levels + parts), F.col(f"{_AT}.shard"), part).sortWithinPartitions(F.col(f"{_AT}.shard"), part, order)
     return spread.select(*names)
 
 

@@ -210,17 +210,18 @@ def pseudonym(match: Column, kind: Column, key: str = KEY, inverse: bool = False
 def replace_pii(docs: DataFrame, text: str = "text", key: str = KEY, inverse: bool = False) -> DataFrame:
     """``docs`` with ``text`` rewritten and ``pii_kinds``, the kinds found, in text order.
 
-    Null and empty texts stay as they are and have no kinds; repeated rows are rewritten alike.
+    Null and empty texts stay as they are and have no kinds; repeated rows are rewritten alike. A
+    column named ``pii_kinds`` is replaced.
     """
     value = F.coalesce(F.col(text), F.lit(""))
     found = F.when(value.rlike("[0-9@]"), F.regexp_extract_all(value, F.lit(PATTERN), 0)).otherwise(F.array().cast("array<string>"))
-    marked = docs.withColumn("_found", found).withColumn("_kinds", F.transform("_found", kind_of))
-    renamed = F.zip_with("_found", "_kinds", lambda m, k: pseudonym(m, k, key, inverse))
-    marked = marked.withColumn("_new", renamed)
-    pieces = F.zip_with(F.split(value, PATTERN, -1), F.col("_new"), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
-    rewritten = F.when(F.size("_found") > 0, F.array_join(pieces, "")).otherwise(F.col(text))
-    result = marked.withColumn(text, rewritten).withColumn("pii_kinds", F.filter("_kinds", lambda k: k.isNotNull()))
-    return result.drop("_found", "_kinds", "_new")
+    marked = docs.withColumn("__pii_found", found).withColumn("__pii_kinds", F.transform("__pii_found", kind_of))
+    renamed = F.zip_with("__pii_found", "__pii_kinds", lambda m, k: pseudonym(m, k, key, inverse))
+    marked = marked.withColumn("__pii_new", renamed)
+    pieces = F.zip_with(F.split(value, PATTERN, -1), F.col("__pii_new"), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
+    rewritten = F.when(F.size("__pii_found") > 0, F.array_join(pieces, "")).otherwise(F.col(text))
+    result = marked.withColumn(text, rewritten).withColumn("pii_kinds", F.filter("__pii_kinds", lambda k: k.isNotNull()))
+    return result.drop("__pii_found", "__pii_kinds", "__pii_new")
 
 
 def counts(docs: DataFrame, key: str = KEY) -> DataFrame:

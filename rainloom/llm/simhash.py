@@ -185,11 +185,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Of repeated rows with that id the first in the order of their text stays. Rows without an id stay.
     """
-    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__sim_kept")).distinct()
+    named = docs.join(kept, F.col("doc_id").cast("long") == F.col("__sim_kept"), "left_semi")
     names = docs.columns
     twice = named.groupBy("doc_id").count().where("count > 1").select("doc_id")
     single = named.join(twice, "doc_id", "left_anti").select(*names)
     first = named.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min(F.struct(F.col("text").alias("t"), *[F.col(c) for c in names])).alias("row"))
-    return single.unionByName(first.select("row.*").select(*names)).unionByName(docs.where("doc_id is null"))
+        F.min(F.struct(F.col("text").alias("__sim_text"), *[F.col(c) for c in names])).alias("__sim_row"))
+    return single.unionByName(first.select("__sim_row.*").select(*names)).unionByName(docs.where("doc_id is null"))

@@ -31,9 +31,9 @@ def docs_of(spark):
     def make(pairs):
         rows = [(i, t, "en", "src", None if t is None else len(t)) for i, t in pairs]
         frame = spark.createDataFrame(rows, DOCUMENT)
-        for name in ("fp", "root", "size", "kept", "word", "label", "n_words", "key", "shard"):
-            from pyspark.sql import functions as F
+        from pyspark.sql import functions as F
 
+        for name in ("fp", "root", "size", "kept", "word", "label", "n_words", "key", "shard", "_key", "_at", "_kept", "t", "row", "id", "block", "_found", "rank", "stack", "items", "held_out"):
             frame = frame.withColumn(name, F.lit("extra"))
         return frame
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from rainloom.llm import common, mixing
@@ -66,9 +67,11 @@ def test_hard_rows_and_empty_table(spark, docs_of):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
-def test_mixed_rows_follow_the_counts(spark):
+@pytest.mark.parametrize("levels,words", [(None, mixing.PART_WORDS), (3, mixing.PART_WORDS), (None, 3000), (2, 3000)])
+def test_mixed_rows_follow_the_counts(spark, levels, words, monkeypatch):
+    monkeypatch.setattr(mixing, "PART_WORDS", words)
     docs = common.documents(spark, SF)
-    mixed = mixing.mix(docs)
+    mixed = mixing.mix(docs, levels)
     assert mixed.columns == docs.columns
     times = Counter(r["doc_id"] for r in mixed.select("doc_id").collect())
     for r in mixing.mix_counts(docs).collect():
