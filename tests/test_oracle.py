@@ -12,6 +12,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import check_oracle  # noqa: E402
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from rainloom.catalog.oracle import SQL  # noqa: E402
+from rainloom.catalog.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,7 @@ def con():
     return check_oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(spark, con, name):
     good, note = check_oracle.compare(spark, con, name, SF)
     assert good, note
@@ -28,7 +30,8 @@ def test_equals_sql(spark, con, name):
 def test_entry_and_keys(spark):
     assert entry(spark).count() > 0
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {
+    assert set(QUERIES) <= set(queries())
+    assert set(QUERIES) - set(SQL) == {
         "iterative_impute", "train_score", "grid_search", "batch_predict", "replay_predict", "stream_score"}
 
 
