@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 #: rows and bytes of one Arrow batch sent to a Python worker; texts can be long
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 #: bytes of text handled at once inside a worker (a longer single text is handled alone)
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: fixed values: white space of the word definition ``[^\x20\x09-\x0D]+``
 _SPACE = np.zeros(256, bool)
@@ -63,15 +63,17 @@ def packed(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds at most ``SLICE_BYTES`` of text, or one row."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES,
+) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each holds at most ``limit`` bytes of text, or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, offsets = packed(batch.column(batch.schema.get_field_index(column)))
         start = 0
         while start < batch.num_rows:
-            end = int(np.searchsorted(offsets, offsets[start] + SLICE_BYTES, "right")) - 1
+            end = int(np.searchsorted(offsets, offsets[start] + limit, "right")) - 1
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end

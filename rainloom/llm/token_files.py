@@ -28,7 +28,7 @@ END_ID = 0
 SHARD_IDS = 1 << 20
 BUCKET_KEYS = 1 << 14
 #: words whose ids a worker remembers; it then starts afresh
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 #: slots per key on every level of the hash function
 GAMMA = 2
 #: stands for a null key
