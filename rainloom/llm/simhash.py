@@ -74,8 +74,10 @@ def _vote(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return result
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint's 64 bits as a bigint) of every row."""
+def _printed(rows: DataFrame, schema: str, shingle: int, seed: int) -> DataFrame:
+    """The columns of ``schema`` but its last, ``fp``, which is the fingerprint of ``text``."""
+    names = [field.split()[0] for field in schema.split(", ")[:-1]]
+
     def run(batches):
         for batch in common.slices(batches):
             found, ends = [], [0]
@@ -83,9 +85,14 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
                 found += _hashes(text or b"", shingle, seed)
                 ends.append(len(found))
             fp = _vote(np.array(found, np.uint64), np.array(ends))
-            yield common.record_batch("doc_id long, fp long", batch.column("doc_id"), fp.view(np.int64))
+            yield common.record_batch(schema, *[batch.column(c) for c in names], fp.view(np.int64))
+
+    return rows.mapInArrow(run, schema)
 
-    return common.id_and_text(docs).mapInArrow(run, "doc_id long, fp long")
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """``doc_id`` and ``fp`` (the fingerprint's 64 bits as a bigint) of every row."""
+    return _printed(common.id_and_text(docs), "doc_id long, fp long", shingle, seed)
 
 
 def _syndrome(value: np.ndarray) -> np.ndarray:
@@ -161,6 +168,14 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return spread.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _LINK)
 
 
+def _rooted(prints: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, first_id, root`` of every distinct fingerprint: its smallest id, its component's root."""
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    roots = components(links(distinct, max_bits))
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs``.
 
@@ -170,10 +185,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     such rows has a null id). Repeated rows each come back. Other columns are ignored.
     """
     prints = materialize(fingerprints(docs, shingle), "prints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    roots = components(links(distinct, max_bits))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(prints, max_bits)
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_print = materialize(rooted.join(lowest, "root").select("fp", "component_id"), "by_print")
     return prints.join(by_print, "fp").select(
@@ -181,15 +193,26 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component, with all columns: the row whose id names it.
+    """One row of each component, with all columns: the first by id, of rows with that id by text.
 
-    Of repeated rows with that id the first in the order of their text stays. Rows without an id stay.
+    Components are told apart by their root fingerprint, so an id may repeat with other texts. Rows
+    without an id stay.
     """
-    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__sim_kept")).distinct()
-    named = docs.join(kept, F.col("doc_id").cast("long") == F.col("__sim_kept"), "left_semi")
     names = docs.columns
-    twice = named.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    single = named.join(twice, "doc_id", "left_anti").select(*names)
-    first = named.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(
+    slim = common.id_and_text(docs).withColumn("digest", F.xxhash64("text"))
+    prints = materialize(_printed(slim, "doc_id long, digest long, fp long", SHINGLE, SEED), "prints")
+    rooted = materialize(_rooted(prints, MAX_BITS), "rooted")
+    lowest = rooted.groupBy("root").agg(F.min("first_id").alias("low"))
+    named = rooted.join(lowest, "root").where("first_id = low").select("fp", "root", "low")
+    rows = prints.join(named, "fp").where("doc_id = low").groupBy("doc_id", "digest").agg(
+        F.min("root").alias("root"), F.count(F.lit(1)).alias("n"))
+    total = rows.groupBy("root").agg(F.sum("n").alias("rows"))
+    chosen = materialize(rows.join(total, "root").select(
+        F.col("doc_id").alias("__sim_id"), F.col("digest").alias("__sim_digest"), F.col("root").alias("__sim_root"),
+        F.col("rows").alias("__sim_rows")), "chosen")
+    digest = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    found = docs.join(chosen, (F.col("doc_id").cast("long") == F.col("__sim_id")) & (digest == F.col("__sim_digest")))
+    single = found.where("__sim_rows = 1").select(*names)
+    first = found.where("__sim_rows > 1").groupBy("__sim_root").agg(
         F.min(F.struct(F.col("text").alias("__sim_text"), *[F.col(c) for c in names])).alias("__sim_row"))
     return single.unionByName(first.select("__sim_row.*").select(*names)).unionByName(docs.where("doc_id is null"))

@@ -77,3 +77,14 @@ def test_links_of_dense_groups(spark):
     roots = {r["node"]: r["root"] for r in simhash.components(simhash.links(frame)).collect()}
     want = brute_components(signed, prints)
     assert {d: roots.get(d, d) for d in signed} == {d: c for d, _, c in want}
+
+
+def test_keep_one_tells_components_apart_where_ids_repeat(spark, docs_of):
+    a, b = "red apples fall from old trees", "seven ships sail past the harbour wall"
+    kept = lambda rows: sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(docs_of(rows)).select("doc_id", "text").collect())
+    assert kept([(5, a), (5, b)]) == [(5, a), (5, b)]
+    assert kept([(4, a.upper()), (5, a), (5, b)]) == [(4, a.upper()), (5, b)]
+    assert kept([(5, a), (5, a), (5, a.upper()), (5, b)]) == sorted([(5, min(a, a.upper())), (5, b)])
+    many = [(7, f"only text number {i} of many with word{i * i} in it") for i in range(40)]
+    prints = [brute_print(t) for _, t in many]
+    assert len(kept(many + [(9, a)])) == 1 + len({c for _, _, c in brute_components(list(range(40)), prints)})
