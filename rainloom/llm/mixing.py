@@ -206,18 +206,18 @@ def assign(planned: DataFrame, levels: int) -> DataFrame:
     return rows.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("pass", "shard"))).alias("shards"))
 
 
-def mix(docs: DataFrame, levels: int | None = None) -> DataFrame:
-    """The mixed rows: every document as often as it is taken, with the columns of ``docs``.
-
-    Rows are grouped by output shard (``2 ** levels``, by default enough for ``PART_WORDS`` words
-    each) and shuffled within it; the shards of a very large mixture are spread over several tasks.
-    """
-    names = docs.columns
-    planned = materialize(plan(docs), "mix-plan")
+def _levels(planned: DataFrame, levels: int | None) -> tuple[int, int]:
+    """Levels of the tree, and further ones by which its shards are spread over tasks."""
     words = planned.agg(F.sum(F.col("size") * (F.col("whole") + F.col("extra")))).first()[0] or 0
     wanted = max(int(words) // PART_WORDS, 1).bit_length() - 1
     levels = min(wanted, MAX_LEVELS) if levels is None else levels
-    parts = max(wanted - levels, 0)
+    return levels, max(wanted - levels, 0)
+
+
+def _draw(docs: DataFrame, planned: DataFrame, levels: int | None) -> DataFrame:
+    """The mixed rows of ``docs``, for its plan."""
+    names = docs.columns
+    levels, parts = _levels(planned, levels)
     shards = assign(planned, levels)
     keyed = docs.withColumn(_KEY, _key())
     rows = keyed.join(shards.select(F.col("key").alias(_KEY), F.explode("shards").alias(_AT)), _KEY)
@@ -227,12 +227,30 @@ def mix(docs: DataFrame, levels: int | None = None) -> DataFrame:
     return spread.select(*names)
 
 
-def mix_counts(docs: DataFrame) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of every row.
+def mix(docs: DataFrame, levels: int | None = None) -> DataFrame:
+    """The mixed rows: every document as often as it is taken, with the columns of ``docs``.
+
+    Rows are grouped by output shard (``2 ** levels``, by default enough for ``PART_WORDS`` words
+    each) and shuffled within it; the shards of a very large mixture are spread over several tasks.
+    """
+    return _draw(docs, materialize(plan(docs), "mix-plan"), levels)
+
 
-    Null and empty texts have size 0 and take 0 words; a null source is a source of its own. Repeated
-    rows come back each, and are taken alike.
+def mix_counts(docs: DataFrame, levels: int | None = None) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` of every row, counted in a drawn mixture.
+
+    The mixture of all documents is drawn and shuffled, texts included, and its rows are counted:
+    ``taken`` is the document's words times the rows it has there, 0 without any. Null and empty texts have size 0 and
+    take 0 words; a null source is a source of its own. Repeated rows come back each, and share
+    the rows of the mixture evenly.
     """
-    return plan(docs).select(
-        F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target",
-        (F.col("size") * (F.col("whole") + F.col("extra"))).cast("long").alias("taken"))
+    planned = materialize(plan(docs), "mix-plan")
+    mixed = _draw(docs.select("doc_id", "source", "text"), planned, levels)
+    # of the finished mixture only the keys of its rows are written; writing them keeps its order
+    keys = materialize(mixed.select(_key().alias("key")), "mix-drawn")
+    drawn = keys.groupBy("key").agg(F.count(F.lit(1)).alias("drawn"))
+    alike = planned.groupBy("key").agg(F.count(F.lit(1)).alias("alike"))
+    times = alike.join(drawn, "key").select("key", "drawn", "alike")
+    taken = F.coalesce(F.expr("size * drawn div alike"), F.lit(0))
+    return planned.join(times, "key", "left").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target", taken.cast("long").alias("taken"))

@@ -92,3 +92,24 @@ def test_tree_keeps_quotas_exactly_and_draws_by_share(spark):
     a = [r["n"] for r in rows if r["source"] == "a"]
     assert all(105 < n < 145 for n in a) and len(set(a)) > 1
     assert mixing.split_quotas(quotas, 3).collect() == rows
+
+
+def test_counts_are_those_of_the_drawn_mixture(spark, docs_of, monkeypatch):
+    """A unit lost or doubled in the drawing shows in the counts."""
+    docs = common.documents(spark, SF)
+    intended = {r["doc_id"]: r["size"] * (r["whole"] + r["extra"]) for r in mixing.plan(docs).collect()}
+    assert {r["doc_id"]: r["taken"] for r in mixing.mix_counts(docs, 2).collect()} == intended
+    twice = docs_of([(1, "a b c"), (1, "a b c"), (2, "d e f g"), (3, "h"), (3, None)])
+    assert sum(r["taken"] for r in mixing.mix_counts(twice).collect()) == sum(
+        len((r["text"] or "").split()) for r in mixing.mix(twice).collect())
+    assign = mixing.assign
+
+    def faulty(planned, levels):
+        shards = assign(planned, levels)
+        short = F.expr("if(size(shards) > 1, slice(shards, 1, 1), array_repeat(shards[0], 3))")
+        return shards.withColumn("shards", short)
+
+    monkeypatch.setattr(mixing, "assign", faulty)
+    for r in mixing.mix_counts(docs, 2).collect():
+        times = {0: 0, 1: 3, 2: 1}[intended[r["doc_id"]] // max(r["size"], 1)]
+        assert r["taken"] == times * r["size"]
