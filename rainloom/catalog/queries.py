@@ -572,8 +572,9 @@ def prepare_data_(spark, sf_dir):
 # ---- model -----------------------------------------------------------------------------------
 
 def _split_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    data = splits.temporal_split(
-        prepare_features(observations(spark, sf_dir), keep=["Date"]), tie_cols=KEYS)
+    # both sides are read several times: features and split are computed once
+    data = materialize(splits.temporal_split(
+        prepare_features(observations(spark, sf_dir), keep=["Date"]), tie_cols=KEYS), "split")
     return (data.where(F.col("split") == "train").drop("split"),
             data.where(F.col("split") == "test").drop("split"))
 

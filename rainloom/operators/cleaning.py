@@ -28,9 +28,12 @@ def clean_target(df: DataFrame, target: str = TARGET) -> DataFrame:
     Any other text fails the job that first reads such a row. The check is part of the
     projection, so it costs no extra pass over the table.
     """
-    problem = F.concat(F.lit(f"unexpected value in {target}: "), F.col(target))
-    coded = F.coalesce(yes_no_flag(F.col(target)), F.raise_error(problem).cast("int"))
-    return df.where(F.col(target).isNotNull()).withColumn(target, coded)
+    text = F.col(target)
+    problem = F.concat(F.lit(f"unexpected value in {target}: "), text)
+    # NULL in, NULL out: later filters on the label may be evaluated before the one below
+    coded = F.when(text.isNull(), F.lit(None).cast("int")).otherwise(
+        F.coalesce(yes_no_flag(text), F.raise_error(problem).cast("int")))
+    return df.where(text.isNotNull()).withColumn(target, coded)
 
 
 def encode_rain_today(df: DataFrame, column: str = RAIN_TODAY) -> DataFrame:
