@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rainloom.llm import (
-    common, decontaminate, line_runs, mixing, pii, quality, simhash, suffix_dedup, token_files, toxicity, url_rules,
+    common, decontaminate, jaccard_join, line_runs, mixing, pii, quality, simhash, suffix_dedup, token_files, toxicity,
+    url_rules,
 )
 from rainloom.session import scratch_dir
 
@@ -91,3 +92,8 @@ def op10_token_files(spark, sf_dir):
     docs, path = common.documents(spark, sf_dir), scratch_dir(spark, "tokens")
     token_files.write(docs, tokenizer_path(), path)
     return token_files.read_documents(token_files.keys_of(docs), path)
+
+
+@register
+def op13_jaccard_join(spark, sf_dir):
+    return jaccard_join.components_of(common.documents(spark, sf_dir))
