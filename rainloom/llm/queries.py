@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rainloom.llm import (
-    common, decontaminate, jaccard_join, line_runs, mixing, pii, quality, simhash, suffix_dedup, token_files, toxicity,
-    url_rules,
+    common, decontaminate, jaccard_join, line_runs, mixing, pii, quality, ranked_search, simhash, suffix_dedup,
+    token_files, toxicity, url_rules,
 )
 from rainloom.session import scratch_dir
 
@@ -94,6 +94,16 @@ def op10_token_files(spark, sf_dir):
     return token_files.read_documents(token_files.keys_of(docs), path)
 
 
+@register
+def op12_ranked_search(spark, sf_dir):
+    path = scratch_dir(spark, "k2-treap")
+    ranked_search.write_index(common.documents(spark, sf_dir), path)
+    return ranked_search.search(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), path)
+
+
+SQL["op12_ranked_search"] = ranked_search.SQL
+
+
 @register
 def op13_jaccard_join(spark, sf_dir):
     return jaccard_join.components_of(common.documents(spark, sf_dir))
