@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rainloom.llm import (
     common, decontaminate, jaccard_join, line_runs, mixing, pii, quality, ranked_search, simhash, suffix_dedup,
-    token_files, toxicity, url_rules,
+    token_alignment, token_files, toxicity, url_rules,
 )
 from rainloom.session import scratch_dir
 
 #: tokenizer file, on every executor
 TOKENIZER = "byte_bpe_50k.json"
+SECOND_TOKENIZER = "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,6 +95,11 @@ def op10_token_files(spark, sf_dir):
     return token_files.read_documents(token_files.keys_of(docs), path)
 
 
+@register
+def op11_token_alignment(spark, sf_dir):
+    return token_alignment.align(common.documents(spark, sf_dir), tokenizer_path(), tokenizer_path(SECOND_TOKENIZER))
+
+
 @register
 def op12_ranked_search(spark, sf_dir):
     path = scratch_dir(spark, "k2-treap")
