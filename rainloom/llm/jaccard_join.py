@@ -10,8 +10,8 @@ them. Weights go to the cheapest segments:
    than its budget has no partner and leaves (most sets do).
 2. The others ask for their cheapest subsets. Where these are frequent, one-deletion neighbourhoods of
    the set's segments are indexed and counted too, and the weights are dealt again by cost; a partner
-   that meets a set in frequent subsets only is in the same position, so these sets need look at each
-   other only.
+   that meets a set in frequent subsets only is in the same position, so beyond their rare subsets
+   these sets need look at each other only.
 3. Candidates are verified on the whole sets. A bucket never gives all its pairs: pivots are compared
    with the bucket, then everything that fell into one component is settled. The number of pivots
    doubles from round to round, best-linked members first, until no bucket joins two components.
@@ -45,8 +45,7 @@ HOT = 32
 FILTER_BITS = 1 << 24
 _BITMAP = 1 << 15                  # bits of one bitmap of Spark's bitmap functions
 
-_PRINT = "doc_id long, digest binary, n int, m_own int, h_own int, m_above int, h_above int"
-_KEYS = "digest binary, m_own int, keys array<long>"
+_PRINT = "doc_id long, digest binary, n int, t_own int, h_own int, t_above int, h_above int, keys array<long>"
 _SET = "digest binary, hashes binary"
 _NEIGHBOUR = "key long, node long, seg int, whole boolean"
 _ASKED = "node long, seg int, weight int"
@@ -80,20 +79,33 @@ class Rule:
             ends.append(max(low, self.largest(low), low * 17 // 10))
         return np.array(ends, np.int64)
 
+    @cached_property
+    def most(self) -> np.ndarray:
+        """Largest budget in every band."""
+        return self.budget(self.upper, self.upper)
+
+    @cached_property
+    def spare(self) -> np.ndarray:
+        """Segments used beyond the budget plus one: so many subsets may be shared by chance."""
+        return 1 + self.most // 8
+
     @cached_property
     def segments(self) -> np.ndarray:
-        """Segments of every band: more than the budget, with some to spare for frequent subsets."""
-        h = self.budget(self.upper, self.upper)
-        return h + 2 + h // 8
+        """Segments of every band."""
+        return self.most + 1 + self.spare
 
     def roles(self, n: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Band of each size, segments and budget there, segments and budget in the band above (0: no part)."""
+        """Band of each size, segments used and budget there, and those in the band above (0: no part).
+
+        A set uses the first segments only, as many as its own budget asks for. The larger of two sets
+        uses all that the smaller does, so they agree on some of the smaller one's.
+        """
         band = np.searchsorted(self.upper, n)
         far = self.largest(n)
         h_own = self.budget(n, np.minimum(far, self.upper[band]))
         above = far > self.upper[band]
         h_above = self.budget(n, np.minimum(far, self.upper[band + 1]))
-        return (band, self.segments[band], h_own, np.where(above, self.segments[band + 1], 0),
+        return (band, h_own + 1 + self.spare[band], h_own, np.where(above, h_above + 1 + self.spare[band + 1], 0),
                 np.where(above, h_above, 0))
 
 
@@ -124,43 +136,37 @@ def _subset_key(sums: np.ndarray, segs: np.ndarray, band: int) -> np.ndarray:
     return common.mix(sums ^ common.mix(segs.astype(np.uint64) + np.uint64((band + 1) << 40)))
 
 
-def segment_keys(hashes: np.ndarray, band: int, m: int) -> np.ndarray:
-    """Keys of the set's subsets in all segments."""
+def segment_keys(hashes: np.ndarray, band: int, m: int, used: int) -> np.ndarray:
+    """Keys of the set's subsets in the first ``used`` of a band's ``m`` segments."""
     sums = np.zeros(m, np.uint64)
     np.add.at(sums, _spread(hashes, band, m), common.mix(hashes))
-    return _subset_key(sums, np.arange(m), band)
+    return _subset_key(sums[:used], np.arange(used), band)
 
 
 def _prints(docs: DataFrame, size: int, rule: Rule) -> DataFrame:
+    """Digest, size and roles of every row's set, and the keys of its subsets: those of its own band
+    first, then those of the band above. Of equal sets in a row only the first has the keys."""
     def run(batches):
         for batch in common.slices(batches):
             sets = _sets(batch, size)
             n = np.array([len(s) for s in sets], np.int64)
-            _, *roles = rule.roles(n)
-            yield common.record_batch(
-                _PRINT, batch.column("doc_id"), list(map(_digest, sets)), *[c.astype(np.int32) for c in (n, *roles)])
-
-    return common.id_and_text(docs).mapInArrow(run, _PRINT)
-
-
-def _keyed(docs: DataFrame, size: int, rule: Rule) -> DataFrame:
-    """Keys of every set's subsets: those of its own band first, then those of the band above."""
-    def run(batches):
-        for batch in common.slices(batches):
-            known = {_digest(s): s for s in _sets(batch, size) if len(s)}
-            if not known:
-                continue
-            band, m_own, _, m_above, _ = rule.roles(np.array([len(s) for s in known.values()], np.int64))
-            keys = []
-            for s, b, m, up in zip(known.values(), band.tolist(), m_own.tolist(), m_above.tolist()):
-                parts = [segment_keys(s, b, m)] + ([segment_keys(s, b + 1, up)] if up else [])
-                keys.append(np.concatenate(parts).view(np.int64))
+            band, t_own, h_own, t_above, h_above = rule.roles(n)
+            digests, seen, keys = list(map(_digest, sets)), set(), []
+            for s, d, b, own, above in zip(sets, digests, band.tolist(), t_own.tolist(), t_above.tolist()):
+                if len(s) and d not in seen:
+                    seen.add(d)
+                    parts = [segment_keys(s, b, int(rule.segments[b]), own)]
+                    if above:
+                        parts.append(segment_keys(s, b + 1, int(rule.segments[b + 1]), above))
+                    keys.append(np.concatenate(parts).view(np.int64))
+                else:
+                    keys.append(np.zeros(0, np.int64))
             offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
             yield common.record_batch(
-                _KEYS, list(known), m_own.astype(np.int32),
+                _PRINT, batch.column("doc_id"), digests, *[c.astype(np.int32) for c in (n, t_own, h_own, t_above, h_above)],
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys))))
 
-    return common.id_and_text(docs).select("text").mapInArrow(run, _KEYS)
+    return common.id_and_text(docs).mapInArrow(run, _PRINT).withColumn("row", F.monotonically_increasing_id())
 
 
 def _filter_slot() -> F.Column:
@@ -202,14 +208,15 @@ def _neighbours(hard: DataFrame, rule: Rule) -> DataFrame:
         for batch in batches:
             for node, raw in zip(batch.column("node").to_pylist(), batch.column("hashes").to_pylist()):
                 hashes = np.frombuffer(raw, np.uint64)
-                band, m_own, _, m_above, _ = (int(r[0]) for r in rule.roles(np.array([len(hashes)])))
-                band, m = (band + 1, m_above) if node & 1 else (band, m_own)
-                segs, mixed, sums = _spread(hashes, band, m), common.mix(hashes), np.zeros(m, np.uint64)
+                band, t_own, _, t_above, _ = (int(r[0]) for r in rule.roles(np.array([len(hashes)])))
+                band, used = (band + 1, t_above) if node & 1 else (band, t_own)
+                segs, mixed, sums = _spread(hashes, band, int(rule.segments[band])), common.mix(hashes), np.zeros(rule.segments[band], np.uint64)
                 np.add.at(sums, segs, mixed)
-                all_segs = np.concatenate((np.arange(m), segs))
-                keys = _subset_key(np.concatenate((sums, sums[segs] - mixed)), all_segs, band).view(np.int64)
+                segs, mixed = segs[segs < used], mixed[segs < used]
+                all_segs = np.concatenate((np.arange(used), segs))
+                keys = _subset_key(np.concatenate((sums[:used], sums[segs] - mixed)), all_segs, band).view(np.int64)
                 yield common.record_batch(
-                    _NEIGHBOUR, keys, np.full(len(keys), node), all_segs.astype(np.int32), np.arange(len(keys)) < m)
+                    _NEIGHBOUR, keys, np.full(len(keys), node), all_segs.astype(np.int32), np.arange(len(keys)) < used)
 
     return hard.select("node", "hashes").mapInArrow(run, _NEIGHBOUR)
 
@@ -343,29 +350,29 @@ def join_sets(docs: DataFrame, size: int = SHINGLE, rule: Rule = Rule()) -> tupl
     The edges lead from each set to the smallest of its component, if that is another; None: no edges.
     """
     prints = materialize(_prints(docs, size, rule), "prints")
-    roles = [F.first(c).alias(c) for c in ("n", "m_own", "h_own", "m_above", "h_above")]
-    sets = prints.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), *roles)
-    sets = materialize(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
+    roles = [F.first(c).alias(c) for c in ("n", "t_own", "h_own", "t_above", "h_above")]
+    sets = prints.where("n > 0").groupBy("digest").agg(F.min("row").alias("id"), F.min("doc_id").alias("first_id"), *roles)
+    sets = materialize(sets, "sets")
     # a node is a set in one of its bands: twice its id, plus one in the band above
-    keyed = _keyed(docs, size, rule).groupBy("digest").agg(F.first("m_own").alias("m"), F.first("keys").alias("keys"))
-    keyed = keyed.join(sets.select("digest", "id"), "digest").select("id", "m", F.posexplode("keys").alias("at", "key"))
-    keyed = keyed.select("key", (F.col("id") * 2 + (F.col("at") >= F.col("m")).cast("long")).alias("node")).repartition("key")
+    keyed = prints.select(F.col("row").alias("id"), "t_own", "keys").join(sets.select("id"), "id").select(
+        "id", "t_own", F.posexplode("keys").alias("at", "key"))
+    keyed = keyed.select("key", (F.col("id") * 2 + (F.col("at") >= F.col("t_own")).cast("long")).alias("node")).repartition("key")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
     found = keyed.join(shared, "key").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("holders", "key"))).alias("subsets"))
     nodes = sets.select(F.explode(F.expr(
-        "filter(array(named_struct('node', id * 2, 'm', m_own, 'h', h_own), named_struct('node', id * 2 + 1, 'm', m_above, 'h', h_above)), x -> x.m > 0)")
+        "filter(array(named_struct('node', id * 2, 't', t_own, 'h', h_own), named_struct('node', id * 2 + 1, 't', t_above, 'h', h_above)), x -> x.t > 0)")
     ).alias("x")).select("x.*")
     # a set is left with candidates if no more subsets than its budget are its own
-    active = found.join(nodes, "node").where("m - size(subsets) <= h").select(
+    active = found.join(nodes, "node").where("t - size(subsets) <= h").select(
         "node", F.shiftright("node", 1).alias("id"), (F.col("h") + 1).alias("total"),
-        (F.col("h") + 1 - F.col("m") + F.size("subsets")).alias("need"), "subsets")
+        (F.col("h") + 1 - F.col("t") + F.size("subsets")).alias("need"), "subsets")
     active = materialize(active, "active")
     hashes = materialize(_hashes_of(docs, sets.join(active.select("id").distinct(), "id", "left_semi").select("digest", "id"), size), "hashes")
-    frequent = F.element_at("subsets", F.col("need")).getField("holders") > HOT
-    hard = active.where(frequent).select("node", "id", "total")
-    rows = active.select("id", "need", frequent.alias("hard"), F.posexplode("subsets").alias("at", "subset")).select(
-        F.col("subset.key").alias("key"), "id", F.lit(0).alias("side"), ((F.col("at") < F.col("need")) & ~F.col("hard")).alias("probe"))
+    hard = active.where(F.element_at("subsets", F.col("need")).getField("holders") > HOT).select("node", "id", "total")
+    asks = (F.col("at") < F.col("need")) & (F.col("subset.holders") <= HOT)
+    rows = active.select("id", "need", F.posexplode("subsets").alias("at", "subset")).select(
+        F.col("subset.key").alias("key"), "id", F.lit(0).alias("side"), asks.alias("probe"))
     if not hard.isEmpty():
         rows = rows.unionByName(_frequent_buckets(hard, hashes, rule).withColumn("key", F.xxhash64("key", F.lit("hard"))))
     buckets = materialize(_without_twins(rows), "buckets")

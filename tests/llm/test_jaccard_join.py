@@ -109,11 +109,16 @@ def test_a_large_group_gives_few_pairs(spark, docs_of, monkeypatch):
 def test_sizes_and_weights():
     rule = jaccard_join.Rule()
     n = np.arange(1, 3000)
-    band, m, h, m_above, h_above = rule.roles(n)
-    assert (n <= rule.upper[band]).all() and (h < m).all() and ((h_above < m_above) | (m_above == 0)).all()
+    band, t, h, t_above, h_above = rule.roles(n)
+    assert (n <= rule.upper[band]).all() and (h < t).all() and (t <= rule.segments[band]).all()
+    assert (t_above <= rule.segments[band + 1]).all()
     for a in range(1, 400):
         for b in range(a, rule.largest(a) + 1):
-            assert rule.budget(a, b) <= (h[a - 1] if band[a - 1] == band[b - 1] else h_above[a - 1])
-            assert band[b - 1] - band[a - 1] in (0, 1) and (band[a - 1] == band[b - 1] or m_above[a - 1])
+            own = band[a - 1] == band[b - 1]
+            assert own or (band[b - 1] - band[a - 1] == 1 and t_above[a - 1])
+            used, budget = (t[a - 1], h[a - 1]) if own else (t_above[a - 1], h_above[a - 1])
+            assert rule.budget(a, b) <= budget <= h[b - 1] and used <= t[b - 1]
+            # so many of the smaller set's segments agree; both sets then have candidates
+            assert used - rule.budget(a, b) >= max(used - budget, t[b - 1] - h[b - 1])
     assert jaccard_join.allocate([0, 9, 5], [2, 1, 7], 3) == [2, 0, 1]
     assert jaccard_join.allocate([3, 1], [0, 0], 4) == [2, 2]
