@@ -27,7 +27,7 @@ from rainloom.llm import common
 
 TOP = 20
 #: postings and documents of one range
-SHARD_POSTINGS, SHARD_DOCS = 3 << 20, 1 << 15
+SHARD_POSTINGS, SHARD_DOCS = 1 << 20, 1 << 14
 #: items whose texts reach this many bytes, or this many items, are searched together
 ITEM_BYTES, ITEM_ROWS = 4 << 20, 2000
 #: ranges of an item opened at once
@@ -135,7 +135,7 @@ class Treap:
             there = c >= 0
             there &= self.bits[np.where(there, at, 0)]
             c = np.where(there, self.rank[np.where(there, at, 0)], -1)
-            b = np.where(there, self.maxima[np.maximum(c, 0)], 0) @ weights
+            b = np.where(there, self.maxima[np.maximum(c, 0)], 0).astype(np.int64) @ weights
             s, l = s + (half << down), l + 1
             leaf = l == self.height
             for score, column in zip(b[leaf & (b > 0) & (b >= floor)].tolist(), s[leaf & (b > 0) & (b >= floor)].tolist()):
@@ -247,14 +247,15 @@ def _block_hits(spark: SparkSession, path: str, block: list[tuple[object, Counte
             for row in batch.to_pylist():
                 rows = {w: i for i, w in enumerate(row["terms"].split(b" ")) if w in wanted}
                 n, bits = row["n_docs"], np.unpackbits(np.frombuffer(row["bits"], np.uint8)).astype(bool)
-                lower = np.frombuffer(row["maxima"], "<u4").astype(np.int64)
-                maxima, parents = lower.copy(), _parents(bits)
+                lower = np.frombuffer(row["maxima"], "<u4").view(np.int32)       # impacts end at a million
+                maxima, parents = lower.copy(), _parents(bits).astype(np.int32)
                 # level by level: a node's maximum is its parent's less the stored difference
                 done = 1
                 while done < len(maxima):
                     end = int(np.searchsorted(parents, done)) + 1
                     maxima[done:end] = maxima[parents[done - 1:end - 1]] - lower[done:end]
                     done = end
+                del parents, lower
                 treap = Treap(row["height"], bits, maxima)
                 ids, nulls = np.frombuffer(row["ids"], "<i8"), np.unpackbits(np.frombuffer(row["nulls"], np.uint8))
                 for mine, words in zip(best, asked):
