@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -71,10 +72,12 @@ class Pair:
         shown = [self.first.id_to_token(i) or "" for i in range(n_a)]
         self.a = Side([bytes(byte_of[c] for c in s) if all(c in byte_of for c in s) else s.encode() for s in shown])
         self.b = Side([self._b_bytes(i) for i in range(n_b)])
-        numbers = [str(i).encode() for i in range(max(n_a, n_b))]
         #: ids with the mark that follows them: inside a group, after its A ids, after its B ids
-        self.printed = [*[n + b"," for n in numbers], *[n + b"|" for n in numbers], *[n + b";" for n in numbers]]
-        self.n_printed = len(numbers)
+        self.n_printed = max(n_a, n_b)
+        shown = [f"{i}{mark}".encode() for mark in ",|;" for i in range(self.n_printed)]
+        width = max(map(len, shown))
+        self.printed = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in shown), np.uint8).reshape(-1, width)
+        self.printed_lengths = np.array(list(map(len, shown)), np.int64)
 
     def _b_bytes(self, i: int) -> bytes:
         piece = self.second.id_to_piece(i)
@@ -83,7 +86,7 @@ class Pair:
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of both sides for each text; none where a side's bytes are not those of blank + text."""
         spaced = [" " + t for t in texts]
-        a = [e.ids for e in self.first.encode_batch(spaced, add_special_tokens=False)]
+        a = [e.ids for e in self.first.encode_batch_fast(spaced, add_special_tokens=False)]
         b = self.second.encode(texts, num_threads=1)
         return [(x, y) if t and self.a.joined(x) == (raw := s.encode()) and self.b.joined(y) == raw else ([], [])
                 for t, s, x, y in zip(texts, spaced, a, b)]
@@ -95,30 +98,38 @@ def _pair(a_path: str, b_path: str) -> Pair:
 
 
 class Aligned:
-    """Groups and links of some encoded texts, laid end to end."""
+    """Groups and links of some encoded texts, laid end to end; token ends are marked byte by byte."""
 
     def __init__(self, pair: Pair, encoded: list[tuple[list[int], list[int]]]):
-        a_ids, b_ids = (np.array([i for e in encoded for i in e[k]], np.int64) for k in (0, 1))
+        sizes = np.array([(len(a), len(b)) for a, b in encoded], np.int64).reshape(-1, 2)
+        self.a_at, self.b_at = (np.concatenate(([0], np.cumsum(n))) for n in sizes.T)
+        a_ids, b_ids = (np.fromiter(chain.from_iterable(e[k] for e in encoded), np.int64, n)
+                        for k, n in ((0, self.a_at[-1]), (1, self.b_at[-1])))
         a_end, b_end = np.cumsum(pair.a.lengths[a_ids]), np.cumsum(pair.b.lengths[b_ids])
-        self.a_at, self.b_at = (np.concatenate(([0], np.cumsum([len(e[k]) for e in encoded]))) for k in (0, 1))
-        cuts = np.intersect1d(a_end, b_end, assume_unique=True)
-        ends = np.union1d(a_end, b_end)
-        at_a, at_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
+        ends_a, ends_b = (np.zeros(int(a_end[-1]) + 1 if len(a_end) else 1, bool) for _ in range(2))
+        ends_a[a_end] = ends_b[b_end] = True
+        ends, cut = np.flatnonzero(ends_a | ends_b), ends_a & ends_b
+        at_a, at_b = (np.cumsum(marks, dtype=np.int32)[ends] - marks[ends] for marks in (ends_a, ends_b))
         self.pairs = (a_ids[at_a] << B_BITS) | b_ids[at_b]
-        self.text = np.searchsorted(self.a_at, at_a, "right") - 1          # of every link
+        of_a = np.repeat(np.arange(len(encoded)), sizes[:, 0])             # text of every A token
+        self.text = of_a[at_a]
         self.n_links = np.bincount(self.text, minlength=len(encoded))
-        last_a = np.searchsorted(a_end, cuts)
-        self.n_groups = np.bincount(np.searchsorted(self.a_at, last_a, "right") - 1, minlength=len(encoded))
-        self._print(pair, a_ids, b_ids, a_end, b_end, cuts)
-
-    def _print(self, pair, a_ids, b_ids, a_end, b_end, cuts):
-        group_a, group_b = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
-        closes_a, closes_b = np.append(group_a[1:] != group_a[:-1], True)[:len(a_ids)], np.append(group_b[1:] != group_b[:-1], True)[:len(b_ids)]
-        codes = np.concatenate((a_ids + closes_a * pair.n_printed, b_ids + 2 * closes_b * pair.n_printed))
-        order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
-        shown = list(map(pair.printed.__getitem__, codes[order].tolist()))
-        both = (self.a_at + self.b_at).tolist()
-        self.digests = [hashlib.sha256(b"".join(shown[x:y])[:-1]).hexdigest() if y > x else "" for x, y in zip(both, both[1:])]
+        self.n_groups = np.bincount(of_a[cut[a_end]], minlength=len(encoded))
+        groups = np.cumsum(cut, dtype=np.int32)
+        self._print(pair, a_ids, b_ids, cut[a_end], cut[b_end], groups[a_end] - cut[a_end], groups[b_end] - cut[b_end])
+
+    def _print(self, pair, a_ids, b_ids, closes_a, closes_b, group_a, group_b):
+        """Digests of the texts' groups: A ids of a group, then its B ids, each with the mark after it."""
+        n_groups = int(closes_a.sum())
+        n_a, n_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
+        codes = np.empty(len(a_ids) + len(b_ids), np.int64)
+        codes[np.arange(len(a_ids)) + (np.cumsum(n_b) - n_b)[group_a]] = a_ids + closes_a * pair.n_printed
+        codes[np.arange(len(b_ids)) + np.cumsum(n_a)[group_b]] = b_ids + 2 * closes_b * pair.n_printed
+        shown = pair.printed[codes].ravel()
+        shown = memoryview(shown[shown != 0].tobytes())
+        length = np.concatenate(([0], np.cumsum(pair.printed_lengths[codes])))
+        cuts = length[self.a_at + self.b_at].tolist()
+        self.digests = [hashlib.sha256(shown[x:y - 1]).hexdigest() if y > x else "" for x, y in zip(cuts, cuts[1:])]
 
 
 def pack(pairs: np.ndarray, places: np.ndarray, n_docs: int) -> tuple[np.ndarray, list, list, list]:
