@@ -13,6 +13,7 @@ postings add it to the documents' scores; texts are encoded once.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from functools import cache
 from itertools import chain
 
@@ -22,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from rainloom.llm import common
+from rainloom.llm.token_files import Encoder
 from rainloom.session import materialize
 
 #: documents and links of one block, about; a document is never cut
@@ -63,9 +65,9 @@ class Pair:
 
     def __init__(self, a_path: str, b_path: str):
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.first = Tokenizer.from_file(a_path)
+        self.encoder = Encoder(a_path)                   # of this object alone: the setting below is kept
+        self.first = self.encoder.tokenizer
         self.first.encode_special_tokens = True
         self.second = SentencePieceProcessor(model_file=b_path)
         byte_of, n_a, n_b = _visible(), self.first.get_vocab_size(), self.second.get_piece_size()
@@ -86,7 +88,7 @@ class Pair:
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of both sides for each text; none where a side's bytes are not those of blank + text."""
         spaced = [" " + t for t in texts]
-        a = [e.ids for e in self.first.encode_batch_fast(spaced, add_special_tokens=False)]
+        a = [array(self.encoder.code, ids).tolist() for ids in self.encoder.encode_after_blank(texts)]
         b = self.second.encode(texts, num_threads=1)
         return [(x, y) if t and self.a.joined(x) == (raw := s.encode()) and self.b.joined(y) == raw else ([], [])
                 for t, s, x, y in zip(texts, spaced, a, b)]

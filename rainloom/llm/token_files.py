@@ -27,8 +27,8 @@ END_ID = 0
 #: ids of one shard, about, and keys of one index bucket, about
 SHARD_IDS = 1 << 20
 BUCKET_KEYS = 1 << 14
-#: words whose ids a worker remembers; it then starts afresh
-CACHE_WORDS = 300_000
+#: pieces whose ids a worker remembers; it then starts afresh
+CACHE_WORDS = 450_000
 #: slots per key on every level of the hash function
 GAMMA = 2
 #: stands for a null key
@@ -86,9 +86,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        #: pieces and words at the start of a text or line, and those after a space
+        #: pieces at the start of a text or line, and those after a space
         self.first, self.later = _Known(lambda p: self._piece(p, "")), _Known(lambda p: self._piece(p, " "))
-        self.words, self.spaced = _Known(self._word), _Known(lambda w: self._word(w, _VISIBLE[32]))
         self.marks = _Known(self._whole)
 
     def _raw(self, ids) -> bytes:
@@ -97,31 +96,36 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return self._raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _word(self, word: str, lead: str = "") -> bytes:
+    def _word(self, word: str, lead: str) -> bytes:
         shown = word if word.isascii() else "".join(map(_VISIBLE.__getitem__, word.encode()))
-        return self._raw([t.id for t in self.model.tokenize(lead + shown)])
+        return self._raw([t.id for t in self.model.tokenize(_VISIBLE[32] + shown if lead else shown)])
 
     def _piece(self, piece: str, lead: str) -> bytes | None:
         """Ids of a piece; None if it depends on its neighbours."""
+        if piece.isalpha():
+            return self._word(piece, lead)
         if not piece or piece[0].isspace() or piece[-1].isspace():
             return None
-        words, out = self.spaced if lead else self.words, []
+        known, out = self.later if lead else self.first, []
         for line in piece.split("\n"):
             word = line.rstrip(MARKS)
             if not word.isalpha():
                 return self._whole(lead + piece)
             if out:
                 out.append(self.marks["\n"])
-                words = self.words
-            out.append(words[word])
+                known = self.first
+            out.append(known[word])
             if len(word) < len(line):
                 out.append(self.marks[line[len(word):]])
         return b"".join(out)
 
+    def _bound_memory(self) -> None:
+        if len(self.first) + len(self.later) + len(self.marks) > CACHE_WORDS:
+            self._forget()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text with the end id, as raw bytes."""
-        if len(self.first) + len(self.later) + len(self.words) + len(self.spaced) > CACHE_WORDS:
-            self._forget()
+        self._bound_memory()
         result, later = [], self.later.__getitem__
         for text in texts:
             start, *pieces = text.split(" ")
@@ -132,6 +136,17 @@ class Encoder:
             result.append(ids + self.end)
         return result
 
+    def encode_after_blank(self, texts: list[str]) -> list[bytes]:
+        """The ids of a blank and every text, without the end id."""
+        self._bound_memory()
+        result, later = [], self.later.__getitem__
+        for text in texts:
+            try:
+                result.append(b"".join(map(later, text.split(" "))))
+            except TypeError:
+                result.append(self._whole(" " + text))
+        return result
+
 
 _encoders: dict[str, Encoder] = {}
 
