@@ -356,8 +356,10 @@ def join_sets(docs: DataFrame, size: int = SHINGLE, rule: Rule = Rule()) -> tupl
     # a node is a set in one of its bands: twice its id, plus one in the band above
     keyed = prints.select(F.col("row").alias("id"), "t_own", "keys").join(sets.select("id"), "id").select(
         "id", "t_own", F.posexplode("keys").alias("at", "key"))
-    keyed = keyed.select("key", (F.col("id") * 2 + (F.col("at") >= F.col("t_own")).cast("long")).alias("node")).repartition("key")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    keyed = keyed.select("key", (F.col("id") * 2 + (F.col("at") >= F.col("t_own")).cast("long")).alias("node"))
+    keyed = keyed.where("key is not null and node is not null").repartition("key")
+    # the same columns and filters on both sides: one shuffle then serves both
+    shared = keyed.groupBy("key").agg(F.count("node").alias("holders")).where("holders > 1")
     found = keyed.join(shared, "key").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("holders", "key"))).alias("subsets"))
     nodes = sets.select(F.explode(F.expr(
