@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -127,9 +128,11 @@ class Scorer:
 
     def __init__(self, lexicon: dict):
         self.lexicon, self.machine, self.known = lexicon, grammar().moves, {}
+        #: a lexicon may have beginnings of any length, whatever lengths are learned
+        self.stems = sorted({len(e) - 1 for e in lexicon if e.endswith("*")})
 
     def _classify(self, word: str) -> tuple[str, float] | None:
-        entries = [self.lexicon[e] for e in entries_of(word) if e in self.lexicon]
+        entries = [self.lexicon[e] for e in entries_of(word, self.stems) if e in self.lexicon]
         if entries:
             return "T" if word in THREATS else "I", max(entries)
         for symbol, words in (("T", THREATS), ("G", TARGETS), ("N", NEGATIONS), ("R", REPORTS)):
@@ -168,9 +171,9 @@ class Scorer:
         return score
 
 
-def entries_of(word: str) -> list[str]:
+def entries_of(word: str, stems: Iterable[int] = STEMS) -> list[str]:
     """The lexical entries a word can match: itself and its beginnings."""
-    return [word, *(word[:k] + "*" for k in STEMS if len(word) >= k)]
+    return [word, *(word[:k] + "*" for k in stems if len(word) >= k)]
 
 
 def held_out(doc_id: str) -> Column:
