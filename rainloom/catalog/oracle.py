@@ -280,6 +280,23 @@ SQL["featurize"] = _with(f"select {FEATURE_LIST} from obs")
 # ---- fitted preparation ----
 SQL["mean_impute"] = _with(
     f"select {IDS}, {COMMA.join(_round(f'coalesce({c}, avg({c}) over ())', c) for c in NUMERIC_COLUMNS)} from obs")
+
+
+def _chained_pair(first: str, second: str, rounds: int) -> str:
+    """Rounds of regressions between two columns as a chain of subqueries; the column with fewer gaps first."""
+    rows = (f"select {IDS}, {first}, {second}, coalesce({first}, avg({first}) over ()) as x, "
+            f"coalesce({second}, avg({second}) over ()) as y from obs")
+    for _ in range(rounds):
+        for given, filled, by in ((first, "x", "y"), (second, "y", "x")):
+            other = "y" if filled == "x" else "x"
+            rows = (
+                f"select {IDS}, {first}, {second}, {other}, case when {given} is null then c + s * {by} else {filled} end as {filled} "
+                f"from ({rows}), (select regr_slope({filled}, {by}) as s, regr_intercept({filled}, {by}) as c from ({rows}) where {given} is not null)")
+    return rows
+
+
+SQL["chained_impute_pair"] = _with(
+    f"select {IDS}, {_round('x', 'MinTemp')}, {_round('y', 'MaxTemp')} from ({_chained_pair('MinTemp', 'MaxTemp', 3)})")
 SQL["missing_indicator"] = _with(
     f"select {IDS}, " + COMMA.join(
         f"cast(case when {c} is null then 1 else 0 end as double) as {c}_missing" for c in NUMERIC_COLUMNS) + " from obs")

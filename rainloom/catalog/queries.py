@@ -31,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 IMPORT_MOMENT = datetime(2024, 5, 1, 6, 30, tzinfo=timezone.utc)
 WIND_FEATURES = [f"{c}_{f}" for c in WIND_COLUMNS for f in ("sin", "cos")]
+CHAINED_PAIR = ["MinTemp", "MaxTemp"]
 #: small trees for the registered model queries; the library default is the published grid
 QUICK = {"n_estimators": 5, "num_leaves": 31}
 
@@ -561,6 +562,19 @@ def iterative_impute(spark, sf_dir):
     return rounded(prepare.fit_gaussian_imputer(obs, NUMERIC_COLUMNS).transform(obs))
 
 
+@register
+def chained_impute(spark, sf_dir):
+    obs = observations(spark, sf_dir).select(*ID, *NUMERIC_COLUMNS)
+    return rounded(prepare.fit_chained_imputer(obs, NUMERIC_COLUMNS).transform(obs))
+
+
+@register
+def chained_impute_pair(spark, sf_dir):
+    """Three rounds of ordinary regressions between two columns."""
+    obs = observations(spark, sf_dir).select(*ID, *CHAINED_PAIR)
+    return rounded(prepare.fit_chained_imputer(obs, CHAINED_PAIR, 3, 0.0, "least_squares").transform(obs))
+
+
 @register
 def prepare_data_(spark, sf_dir):
     prepared = prepare_data(observations(spark, sf_dir), key_cols=KEYS)

@@ -1,3 +1,4 @@
+from rainloom.operators.prepare.chained import ChainedImputer, fit_chained_imputer
 from rainloom.operators.prepare.encoding import (
     fit_one_hot, fit_target_encoding, mode_impute, most_frequent, target_encode, target_encode_oof,
 )
@@ -8,7 +9,8 @@ from rainloom.operators.prepare.preparation import Preparation, Preprocessor, bu
 from rainloom.operators.prepare.scaling import RobustScale, fit_robust_scale
 
 __all__ = [
-    "GaussianImputer", "Preparation", "Preprocessor", "RobustScale", "build_preprocessor", "fit_gaussian_imputer", "fit_one_hot",
+    "ChainedImputer", "GaussianImputer", "Preparation", "Preprocessor", "RobustScale", "build_preprocessor",
+    "fit_chained_imputer", "fit_gaussian_imputer", "fit_one_hot",
     "fit_preparation", "fit_robust_scale", "fit_target_encoding", "mean_impute", "missing_indicator",
     "mode_impute", "most_frequent", "target_encode", "target_encode_oof",
 ]
