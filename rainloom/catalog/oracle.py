@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 from rainloom.catalog.derived import COLUMNS, ID, KEYS, observations_sql
+from rainloom.catalog.stored import stored_ensemble
 from rainloom.functions.features import (
     CYCLICAL_FEATURES, DAYS_PER_CYCLE, DIFFERENCES, FLAGS, LOG_AMOUNTS, MONTHS_PER_CYCLE,
     TEMPORAL_FEATURES, WEATHER_FEATURES,
@@ -383,3 +384,40 @@ SQL["metrics_log"] = SQL["confusion_metrics"]
 SQL["predictions_csv"] = SQL["threshold_label"]
 SQL["drop_unused"] = _with(f"select {COMMA.join(TEXT)}, {_rounded(NUMERIC_COLUMNS)}, {IDS} from obs")
 SQL["scan_series"] = f"select o_orderkey, o_totalprice, o_orderdate from ({SQL['scan_csv']})"
+
+# ---- the stored ensemble ----
+def _plain(parts: dict[str, str]) -> str:
+    return COMMA.join(f"{e} as {n}" for n, e in parts.items())
+
+
+RAW_FEATURES = COMMA.join([IDS, "Date", "Location", *NUMERIC_COLUMNS, RAIN_TODAY, _plain(TEMPORAL), _plain(WEATHER)])
+PROBABILITY = stored_ensemble().probability_sql()
+_LABEL = "case when probability >= 0.5 then 'Yes' else 'No' end"
+SQL["stored_batch_predict"] = _with(
+    f"select {KEY}, {_LABEL} as rain_tomorrow, {_round('probability', 'probability')} "
+    f"from (select {KEY}, {PROBABILITY} as probability from (select {RAW_FEATURES} from obs))")
+SQL["stored_stream_score"] = SQL["stored_batch_predict"]
+SQL["stored_replay_predict"] = _with(
+    f"select Date, Location, {_LABEL} as rain_tomorrow_pred, {_round('probability', 'probability')}, rain_tomorrow_actual "
+    f"from (select Date, Location, {PROBABILITY} as probability, rain_tomorrow_actual "
+    f"from (select {RAW_FEATURES}, {TARGET} as rain_tomorrow_actual from newest where rn = 1))",
+    "import_day", "status", ctes=NEWEST)
+_TESTED = SPLIT + (
+    f", judged as (select {TARGET} as label, {PROBABILITY} as score from (select {RAW_FEATURES}, {TARGET} from parts where split = 'test')), "
+    "counted as (select " + COMMA.join(
+        f"cast(count(*) filter (where label = {a} and (score >= 0.5) = {p}) as double) as {n}"
+        for n, a, p in (("tp", 1, "true"), ("fp", 0, "true"), ("fn", 1, "false"), ("tn", 0, "false"))) + " from judged), "
+    "groups as (select score, sum(label) as pos, count(*) - sum(label) as neg from judged group by 1), "
+    "curve as (select pos, neg, sum(pos) over w as cp, sum(neg) over w as cn from groups "
+    "window w as (order by score desc rows unbounded preceding))")
+SQL["stored_score_report"] = _with(
+    "select " + COMMA.join([
+        _round("(tp + tn) / (tp + fp + fn + tn)", "accuracy"), _round("2 * tp / (2 * tp + fp + fn)", "f1"),
+        "(select " + _round("sum(cast(neg as double) * (cp - pos + pos / 2.0)) / (sum(pos) * cast(sum(neg) as double))", "x") + " from curve) as roc_auc",
+        "(select " + _round("sum(cast(pos as double) * cp / (cp + cn)) / cast(sum(pos) as double)", "x") + " from curve) as pr_auc",
+        _round("tp / (tp + fp)", "precision"), _round("tp / (tp + fn)", "recall")]) + " from counted", ctes=_TESTED)
+_ROOTS = [(t, f, cut, left) for t, i, f, cut, left, *_ in stored_ensemble().node_rows() if i == 0 and f is not None]
+SQL["stored_nodes"] = _with(" union all ".join(
+    f"select cast({t} as int) as tree, '{f}' as feature, count(*) filter (where coalesce({f} <= {cut!r}, {str(left).lower()})) as rows_left, "
+    f"count(*) filter (where not coalesce({f} <= {cut!r}, {str(left).lower()})) as rows_right from (select {RAW_FEATURES} from obs)"
+    for t, f, cut, left in _ROOTS))

@@ -12,6 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rainloom.catalog.derived import ID, KEYS, observations
+from rainloom.catalog.stored import FEATURES as STORED_FEATURES, stored_ensemble
 from rainloom.functions.features import (
     CYCLICAL_FEATURES, TEMPORAL_FEATURES, WEATHER_FEATURES, add_cyclical_features,
     add_temporal_features, add_weather_features, encode_wind_directions,
@@ -558,12 +559,6 @@ def one_hot(spark, sf_dir):
 
 @register
 def iterative_impute(spark, sf_dir):
-    obs = observations(spark, sf_dir).select(*ID, *NUMERIC_COLUMNS)
-    return rounded(prepare.fit_gaussian_imputer(obs, NUMERIC_COLUMNS).transform(obs))
-
-
-@register
-def chained_impute(spark, sf_dir):
     obs = observations(spark, sf_dir).select(*ID, *NUMERIC_COLUMNS)
     return rounded(prepare.fit_chained_imputer(obs, NUMERIC_COLUMNS).transform(obs))
 
@@ -632,22 +627,69 @@ def replay_predict(spark, sf_dir):
     return modeling.replay_predict(_versions(spark, sf_dir), model, ["Date", "Location"], tie_cols=ID)
 
 
-@register
-def stream_score(spark, sf_dir):
-    model = _quick_model(spark, sf_dir)
+def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations as a file stream."""
     from rainloom.catalog.derived import COLUMNS
 
     schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
-    arriving = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
-        .selectExpr(*[f"{e} as {n}" for n, e in COLUMNS])
-    )
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+            .selectExpr(*[f"{e} as {n}" for n, e in COLUMNS]))
+
+
+@register
+def stream_score(spark, sf_dir):
+    model = _quick_model(spark, sf_dir)
+    arriving = _arriving(spark, sf_dir)
     base = scratch_dir(spark, "stream-score")
     query = jobs.stream_score(arriving, model, f"{base}/scores", f"{base}/checkpoint", KEYS)
     query.awaitTermination()
     return spark.read.parquet(f"{base}/scores")
 
 
+@register
+def stored_batch_predict(spark, sf_dir):
+    obs = observations(spark, sf_dir).drop(TARGET)
+    return rounded(modeling.ensemble_predict(obs, stored_ensemble(), KEYS, digits=None))
+
+
+@register
+def stored_replay_predict(spark, sf_dir):
+    return rounded(modeling.ensemble_replay(
+        _versions(spark, sf_dir), stored_ensemble(), ["Date", "Location"], tie_cols=ID, digits=None))
+
+
+@register
+def stored_stream_score(spark, sf_dir):
+    """The stored ensemble on a file stream, read back from the table it appends to."""
+    base = scratch_dir(spark, "stored-stream")
+    scored = modeling.ensemble_predict(_arriving(spark, sf_dir).drop(TARGET), stored_ensemble(), KEYS, digits=None)
+    jobs.append_stream(scored, f"{base}/scores", f"{base}/checkpoint").awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/scores"))
+
+
+@register
+def stored_score_report(spark, sf_dir):
+    """Figures of the stored ensemble on the later fifth of the labelled rows."""
+    _, test = _split_features(spark, sf_dir)
+    scored = test.select(TARGET, stored_ensemble().probability().alias("probability"))
+    scored = cleaning.threshold_label(scored, label_col="prediction", as_text=False, digits=None)
+    figures = metrics.score_report(materialize(scored, "scored"), TARGET, "prediction", "probability")
+    return rounded(spark.createDataFrame([tuple(float(v) for v in figures.values())], list(figures)))
+
+
+@register
+def stored_nodes(spark, sf_dir):
+    """Share of the rows that reach each side of the trees' roots, by the flat node table."""
+    roots = stored_ensemble().node_table(spark).where("node = 0 and feature is not null").select(
+        "tree", "feature", "threshold", "missing_left")
+    ready = featurize(observations(spark, sf_dir))
+    cells = ready.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in STORED_FEATURES])).alias("x")).select("x.*")
+    goes_left = F.coalesce(F.col("value") <= F.col("threshold"), F.col("missing_left"))
+    return cells.join(F.broadcast(roots), "feature").groupBy("tree", "feature").agg(
+        F.count_if(goes_left).alias("rows_left"), F.count_if(~goes_left).alias("rows_right"))
+
+
 # ---- metrics ---------------------------------------------------------------------------------
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
