@@ -344,6 +344,9 @@ SQL["one_hot"] = _with(" union all ".join(
     ctes="filled as (select " + COMMA.join(
         f"coalesce({c}, (select {c} from obs where {c} is not null group by {c} order by count(*) desc, {c} limit 1)) as {c}"
         for c in WIND_COLUMNS) + " from obs)")
+SQL["one_hot_wide"] = _with(
+    "select category, row_number() over (order by category) - 1 as position, rows from "
+    "(select cast(order_key as varchar) as category, count(*) as rows from obs group by 1)")
 SQL["prepare_data"] = _with(
     f"select split, count(*) as rows, cast(sum({TARGET}) as bigint) as positives, min(Date) as first_date, "
     "max(Date) as last_date from parts group by 1", ctes=SPLIT)

@@ -557,6 +557,15 @@ def one_hot(spark, sf_dir):
     return first
 
 
+@register
+def one_hot_wide(spark, sf_dir):
+    """Positions and rows of a column with one category per order, by the dictionary kept as a table."""
+    obs = observations(spark, sf_dir).select(F.col("order_key").cast("string").alias("order_text"))
+    found = prepare.fit_wide_one_hot(obs, ["order_text"]).indexed(obs)
+    return found.groupBy(F.col("order_text").alias("category")).agg(
+        F.max(F.col("order_text_index").cast("long")).alias("position"), F.count(F.lit(1)).alias("rows"))
+
+
 @register
 def iterative_impute(spark, sf_dir):
     obs = observations(spark, sf_dir).select(*ID, *NUMERIC_COLUMNS)

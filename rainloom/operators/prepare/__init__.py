@@ -1,4 +1,5 @@
 from rainloom.operators.prepare.chained import ChainedImputer, fit_chained_imputer
+from rainloom.operators.prepare.dictionary import WideEncoder, category_dictionary, fit_wide_one_hot
 from rainloom.operators.prepare.encoding import (
     fit_one_hot, fit_target_encoding, mode_impute, most_frequent, target_encode, target_encode_oof,
 )
@@ -9,8 +10,9 @@ from rainloom.operators.prepare.preparation import Preparation, Preprocessor, bu
 from rainloom.operators.prepare.scaling import RobustScale, fit_robust_scale
 
 __all__ = [
-    "ChainedImputer", "GaussianImputer", "Preparation", "Preprocessor", "RobustScale", "build_preprocessor",
+    "ChainedImputer", "GaussianImputer", "Preparation", "Preprocessor", "RobustScale", "WideEncoder", "build_preprocessor",
+    "category_dictionary",
     "fit_chained_imputer", "fit_gaussian_imputer", "fit_one_hot",
-    "fit_preparation", "fit_robust_scale", "fit_target_encoding", "mean_impute", "missing_indicator",
+    "fit_preparation", "fit_robust_scale", "fit_target_encoding", "fit_wide_one_hot", "mean_impute", "missing_indicator",
     "mode_impute", "most_frequent", "target_encode", "target_encode_oof",
 ]
