@@ -5,11 +5,13 @@ Feistel network over mixed radices, so equal values get equal pseudonyms in ever
 values different ones, and whoever holds the key can restore them:
 
 card       13 to 19 digits with a right Luhn check digit: digits permuted, check digit computed anew
-phone      ``+`` with 8 to 15 digits, or a grouped 10-digit number: all digits but the country's
+phone      ``+`` with 8 to 15 digits, or a grouped 10-digit number: all digits but the country's, however
+           the number is grouped
 ip         four numbers up to 255
 ssn        three, two and four digits with a valid area, group and serial number
 date       yyyy-mm-dd, dd.mm.yyyy, dd/mm/yyyy from 1900 to 2099: a day of the same span
-hex        32 to 64 hexadecimal digits with a letter and a digit (keys, tokens), in pieces of 12
+hex        32 to 64 hexadecimal digits with a letter and a digit (keys, tokens): the same length and
+           case, as one value; in mixed case the letters of either case are symbols of their own
 email      not a number: the address is replaced by a keyed digest, equal addresses by equal ones
 
 Text outside the matches does not change. A number that fails its validation stays.
@@ -21,8 +23,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 KEY = "rainloom-demo-key"
 ROUNDS = 8
-#: fixed values: first day and number of days of the date format, as 319 * 229
-FIRST_DAY, DAYS = "1900-01-01", (319, 229)
+#: fixed values: first day and number of days of the date format (73,049), as 17 * 4297
+FIRST_DAY, DAYS = "1900-01-01", (17, 4297)
+#: fixed values: telephone country codes of one and two digits; all others have three
+COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+#: most steps along a cycle to an image that is valid again (all but one in ten million need one)
+WALK = 8
 
 _DATE = r"(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})"
 _IP = r"\d{1,3}(?:\.\d{1,3}){3}"
@@ -120,7 +126,7 @@ def is_card(match: Column) -> Column:
 
 def _phone(match, key, inverse):
     digits = _digits(match)
-    keep = F.when(match.startswith("+"), F.length(F.regexp_extract(match, r"^\+(\d{1,3})", 1))).otherwise(0)
+    keep = F.when(match.startswith("+"), F.length(F.regexp_extract(digits, COUNTRY, 0))).otherwise(0)
     keep = F.least(keep, F.length(digits) - 4)
     rest = permute_digits(F.substring(digits, keep + 1, F.length(digits)), "phone", key, inverse)
     return _refill(match, F.concat(F.substring(digits, F.lit(1), keep), rest))
@@ -165,16 +171,46 @@ def _date(match, key, inverse):
         F.concat(F.date_format(date, "dd"), mark, F.date_format(date, "MM"), F.substring(match, 6, 1), F.date_format(date, "yyyy")))
 
 
+def _hex_valid(text: Column, alphabet: Column) -> Column:
+    """Are there a digit and a letter, and in mixed case letters of both cases?"""
+    letters = F.when(F.length(alphabet) > 16, text.rlike("[a-f]") & text.rlike("[A-F]")).otherwise(text.rlike("[A-Fa-f]"))
+    return letters & text.rlike("[0-9]")
+
+
+def permute_symbols(text: Column, alphabet: Column, kind: str, key: str, inverse: bool) -> Column:
+    """A string over an alphabet to one of the same length: a Feistel network whose halves are strings
+    of up to 32 symbols, each half moved by a digest of all of the other."""
+    radix, n = F.length(alphabet), F.length(text)
+    cut = F.floor(n / 2).cast("int")
+
+    def moved(half, other, i):
+        digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), n.cast("string"), radix.cast("string"), i.cast("string"), other), 256)
+        def symbol(c, at):
+            step = F.conv(F.substring(digest, 2 * at + 1, F.lit(2)), 16, 10).cast("int")
+            place = F.instr(alphabet, c) - 1
+            return F.substring(alphabet, F.pmod(place - step if inverse else place + step, radix) + 1, F.lit(1))
+        return F.array_join(F.transform(F.split(half, ""), symbol), "")
+
+    def step(s, i):
+        return F.when(i % 2 == 0, F.struct(moved(s["l"], s["r"], i).alias("l"), s["r"].alias("r"))).otherwise(
+            F.struct(s["l"].alias("l"), moved(s["r"], s["l"], i).alias("r")))
+
+    steps = F.sequence(F.lit(0), F.lit(2 * ROUNDS - 1))
+    start = F.struct(F.substring(text, F.lit(1), cut).alias("l"), F.substring(text, cut + 1, n).alias("r"))
+    return F.aggregate(F.reverse(steps) if inverse else steps, start, step, lambda s: F.concat(s["l"], s["r"]))
+
+
 def _hex(match, key, inverse):
-    def piece(p, i):
-        n = F.length(p)
-        low = F.floor(n / 2).cast("int")
-        radix = lambda k: F.expr("1L") * F.conv(F.rpad(F.lit("1"), k + 1, "0"), 16, 10).cast("long")
-        moved = feistel(F.conv(p, 16, 10).cast("long"), radix(n - low), radix(low), F.concat(F.lit("hex"), i.cast("string"), F.lit("/"), n.cast("string")), key, inverse)
-        return F.lpad(F.hex(moved), n, "0")
-
-    moved = F.array_join(F.transform(F.regexp_extract_all(match, F.lit("[0-9A-Fa-f]{1,12}"), 0), piece), "")
-    return F.when(match.rlike("[a-f]"), F.lower(moved)).otherwise(moved)
+    small, large, both = (F.lit("0123456789" + x) for x in ("abcdef", "ABCDEF", "abcdefABCDEF"))
+    alphabet = F.when(~match.rlike("[A-F]"), small).when(~match.rlike("[a-f]"), large).otherwise(both)
+
+    def walk(s, i):
+        image = F.array(permute_symbols(s["text"], alphabet, "hex", key, inverse))
+        return F.when(s["done"], s).otherwise(
+            F.transform(image, lambda t: F.struct(t.alias("text"), _hex_valid(t, alphabet).alias("done")))[0])
+
+    start = F.struct(match.alias("text"), F.lit(False).alias("done"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, walk, lambda s: s["text"])
 
 
 def _email(match, key, inverse):
