@@ -46,7 +46,7 @@ FILTER_BITS = 1 << 24
 _BITMAP = 1 << 15                  # bits of one bitmap of Spark's bitmap functions
 
 _PRINT = "doc_id long, digest binary, n int, t_own int, h_own int, t_above int, h_above int, keys array<long>"
-_SET = "digest binary, hashes binary"
+_SET = "digest binary, hashes binary, sketch binary"
 _NEIGHBOUR = "key long, node long, seg int, whole boolean"
 _ASKED = "node long, seg int, weight int"
 _LINK = "u long, v long"
@@ -175,7 +175,7 @@ def _filter_slot() -> F.Column:
 
 
 def _hashes_of(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
-    """``id, hashes`` of the chosen sets (``digest, id``), from the texts.
+    """``id, hashes, sketch`` of the chosen sets (``digest, id``), from the texts.
 
     A bitmap of fixed size keeps most other sets from being shuffled; the join by digest is exact.
     """
@@ -193,13 +193,14 @@ def _hashes_of(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
             known = {_digest(s): s for s in _sets(batch, size)}
             at = np.array([int.from_bytes(d[:4], "big") for d in known], np.int64) % FILTER_BITS
             wanted = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-            rows = [(d, s.tobytes()) for (d, s), w in zip(known.items(), wanted) if w and len(s)]
+            rows = [(d, s.tobytes(), sketch(s).tobytes()) for (d, s), w in zip(known.items(), wanted) if w and len(s)]
             if rows:
                 yield common.record_batch(_SET, *map(list, zip(*rows)))
 
     found = common.id_and_text(docs).select("text").mapInArrow(run, _SET)
-    one = found.groupBy("digest").agg(F.first("hashes").alias("hashes"))
-    return one.join(chosen, "digest").select("id", "hashes")
+    chosen = materialize(chosen, "chosen")
+    return found.join(chosen, "digest").groupBy("id").agg(
+        F.first("hashes").alias("hashes"), F.first("sketch").alias("sketch"))
 
 
 def _neighbours(hard: DataFrame, rule: Rule) -> DataFrame:
@@ -285,27 +286,50 @@ def _without_twins(rows: DataFrame) -> DataFrame:
     return rows.join(chosen.select("key"), "key", "left_semi")
 
 
-def _verified(pairs: DataFrame, hashes: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (u, v) whose whole sets reach the similarity."""
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Sixteen bits of every hash, in order: sets share no more hashes than their sketches share values."""
+    return (hashes >> np.uint64(48)).astype("<u2")
+
+
+def most_shared(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values two ascending sketches share, counting repeats: no fewer than their sets share."""
+    short, long_ = sorted((x, y), key=len)
+    value, first, times = np.unique(short, return_index=True, return_counts=True)
+    other = np.searchsorted(long_, value, "right") - np.searchsorted(long_, value, "left")
+    return int(np.minimum(times, other).sum())
+
+
+def exactly_shared(x: np.ndarray, y: np.ndarray) -> int:
+    short, long_ = sorted((x, y), key=len)
+    at = np.searchsorted(long_, short)
+    return int((long_[np.minimum(at, len(long_) - 1)] == short).sum())
+
+
+def _similar(pairs: DataFrame, sides: DataFrame, kind: str, shared, rule: Rule) -> DataFrame:
+    """Pairs (u, v) that reach the similarity if ``shared`` tells what they share; ``sides``: id and set."""
     def run(batches):
         for batch in batches:
-            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
             keep = []
-            for a, b in zip(x, y):
-                small, large = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
-                if len(large) > rule.largest(len(small)):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(large, small)
-                inter = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                keep.append(rule.holds(inter, len(small) + len(large) - inter))
+            for a, b in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                x, y = np.frombuffer(a, kind), np.frombuffer(b, kind)
+                inter = shared(x, y) if max(len(x), len(y)) <= rule.largest(min(len(x), len(y))) else 0
+                keep.append(rule.holds(inter, len(x) + len(y) - inter))
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    first = hashes.select(F.col("id").alias("u"), F.col("hashes").alias("x"))
-    second = hashes.select(F.col("id").alias("v"), F.col("hashes").alias("y"))
+    first, second = (sides.toDF("u", "x"), sides.toDF("v", "y"))
     return pairs.join(first, "u").join(second, "v").select("u", "v", "x", "y").mapInArrow(run, _LINK)
 
 
+def _verified(pairs: DataFrame, hashes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (u, v) whose whole sets reach the similarity.
+
+    Sketches, a quarter of the size, go first: they overrate what two sets share, so they only dismiss
+    pairs that cannot be similar.
+    """
+    likely = materialize(_similar(pairs, hashes.select("id", "sketch"), "<u2", most_shared, rule), "likely")
+    return _similar(likely, hashes.select("id", "hashes"), "<u8", exactly_shared, rule)
+
+
 def _linked(buckets: DataFrame, hashes: DataFrame, rule: Rule) -> DataFrame | None:
     """Star edges (u, v) that connect what all links among the buckets' candidates connect; None without any.
 
@@ -324,7 +348,8 @@ def _linked(buckets: DataFrame, hashes: DataFrame, rule: Rule) -> DataFrame | No
         now = materialize(now.join(open_.where("low < high and asked").select("key"), "key", "left_semi"), "open_buckets")
         best = F.max(F.struct("links", "company", F.xxhash64("id").alias("h"), "id", "side", "root")).alias("best")
         lot = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(1 << min(turn, 40)))
-        pivots = now.where("probe").groupBy("key", lot.alias("lot")).agg(best)
+        # at first the most typical member of each bucket, asking or not: mostly one for a whole group
+        pivots = (now.where("probe") if turn else now).groupBy("key", lot.alias("lot")).agg(best)
         pivots = materialize(pivots.select("key", *[F.col(f"best.{c}").alias(f"p_{c}") for c in ("id", "side", "root")]), "pivots")
         if pivots.isEmpty():
             return edges

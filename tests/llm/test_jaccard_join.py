@@ -122,3 +122,12 @@ def test_sizes_and_weights():
             assert used - rule.budget(a, b) >= max(used - budget, t[b - 1] - h[b - 1])
     assert jaccard_join.allocate([0, 9, 5], [2, 1, 7], 3) == [2, 0, 1]
     assert jaccard_join.allocate([3, 1], [0, 0], 4) == [2, 2]
+
+
+def test_sketches_never_underrate():
+    rng = np.random.default_rng(7)
+    for n in (1, 5, 300, 20000):
+        x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        y = np.unique(np.concatenate((x[: n // 2], rng.integers(0, 1 << 63, n // 3 + 1, dtype=np.uint64))))
+        both = len(np.intersect1d(x, y))
+        assert jaccard_join.exactly_shared(x, y) == both <= jaccard_join.most_shared(jaccard_join.sketch(x), jaccard_join.sketch(y))
