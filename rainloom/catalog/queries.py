@@ -24,7 +24,7 @@ from rainloom.plans.training import prepare_data
 from rainloom.schema import (
     IMPORT_RUN_ID, NUMERIC_COLUMNS, OBSERVATION_COLUMNS, TARGET, WIND_COLUMNS,
 )
-from rainloom.session import materialize, scratch_dir, tune
+from rainloom.session import materialize, plain_planning, scratch_dir, tune
 from rainloom.sources import readers, tables, writers
 from rainloom.streaming import jobs
 
@@ -591,8 +591,9 @@ def prepare_data_(spark, sf_dir):
 
 def _split_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     # both sides are read several times: features and split are computed once
-    data = materialize(splits.temporal_split(
-        prepare_features(observations(spark, sf_dir), keep=["Date"]), tie_cols=KEYS), "split")
+    with plain_planning(spark):
+        data = materialize(splits.temporal_split(
+            prepare_features(observations(spark, sf_dir), keep=["Date"]), tie_cols=KEYS), "split")
     return (data.where(F.col("split") == "train").drop("split"),
             data.where(F.col("split") == "test").drop("split"))
 

@@ -7,6 +7,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rainloom.session import plain_planning
+
 
 def write_report(report: DataFrame, path: str) -> None:
     """CSV of a per-column report (a row per column, so one file)."""
@@ -15,7 +17,8 @@ def write_report(report: DataFrame, path: str) -> None:
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split") -> None:
     """Feature table partitioned by split, so each side is read without the other."""
-    df.write.mode("overwrite").partitionBy(split_col).parquet(path)
+    with plain_planning(df.sparkSession):
+        df.write.mode("overwrite").partitionBy(split_col).parquet(path)
 
 
 def write_predictions(df: DataFrame, path: str, form: str = "parquet") -> None:
