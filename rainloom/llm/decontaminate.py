@@ -6,19 +6,22 @@ piece is untouched. All pieces of all items are searched at once (Aho-Corasick);
 hit the whole item is verified against the text with the bit-parallel recurrence.
 
 Items are handled in blocks of bounded size, one pass over the documents for each block, so the size
-of the benchmark is not limited by a task's memory.
+of the benchmark is limited neither by a task's memory nor by the driver's. A benchmark of one block
+needs no shuffle; hits of several blocks are united by a digest of the text.
 """
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rainloom.llm import common
+from rainloom.session import materialize
 
 #: share of an item's characters that may be edited, and the least characters of a piece
 ERROR_RATE = 0.05
@@ -27,6 +30,7 @@ MIN_PIECE = 20
 BLOCK_CHARS = 1 << 20
 
 HITS = "doc_id long, items array<long>"
+BLOCK_HITS = "key string, item long"
 
 
 def normalise(text: str | None) -> str:
@@ -132,26 +136,48 @@ def _matcher(shared, name: str) -> Matcher:
     return _built[name]
 
 
-def _texts(batch: pa.RecordBatch, column: str) -> list[str]:
-    return batch.column(batch.schema.get_field_index(column)).to_pylist()
+def _items_in(texts: pa.Array, shared, name: str) -> list[list[int]]:
+    """Sorted ids of one block's items in every text."""
+    matcher = _matcher(shared, name)
+    return [matcher.items_in(normalise(t)) if matcher.patterns else [] for t in texts.to_pylist()]
 
 
-def _broadcast_blocks(docs: DataFrame, benchmark: DataFrame) -> list[tuple[str, object]]:
-    """Named broadcasts, each of at most ``BLOCK_CHARS`` characters (or one item)."""
-    run, context = uuid.uuid4().hex, docs.sparkSession.sparkContext
-    return [(f"{run}-{k}", context.broadcast(block)) for k, block in enumerate(_blocks(benchmark))]
+def _text_key() -> Column:
+    return F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
 
 
-def _found(batch: pa.RecordBatch, blocks) -> list[list[int]]:
-    """Sorted item ids in every text of a batch, block after block."""
-    texts = [normalise(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-    found = [set() for _ in texts]
-    for name, shared in blocks:
-        matcher = _matcher(shared, name)
-        if matcher.patterns:
-            for items, text in zip(found, texts):
-                items.update(matcher.items_in(text))
-    return [sorted(items) for items in found]
+def _block_hits(docs: DataFrame, block: list[tuple[int, str]]) -> DataFrame:
+    """``key, item`` of the texts that hold an item of the block, written before the block is let go."""
+    shared, name = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
+
+    def run(batches):
+        for batch in batches:
+            rows = [(key, item) for key, items in zip(batch.column("key").to_pylist(), _items_in(batch.column("text"), shared, name))
+                    for item in items]
+            if rows:
+                yield common.record_batch(BLOCK_HITS, *map(list, zip(*rows)))
+
+    keyed = docs.select(_text_key().alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    hits = materialize(keyed.mapInArrow(run, BLOCK_HITS).distinct(), "benchmark-hits")
+    shared.destroy()
+    return hits
+
+
+def _hits_by_text(docs: DataFrame, benchmark: DataFrame) -> DataFrame | list[tuple[int, str]]:
+    """The items themselves if they are one block (or none); otherwise ``key, items`` of all texts with hits.
+
+    One pass over the documents for each block; driver and workers hold one block at a time. Hits
+    depend on the text alone, so a digest of it unites them.
+    """
+    blocks = _blocks(benchmark)
+    first = next(blocks, [])
+    second = next(blocks, None)
+    if second is None:
+        return first
+    hits = _block_hits(docs, first)
+    for block in itertools.chain([second], blocks):
+        hits = hits.unionByName(_block_hits(docs, block))
+    return materialize(hits.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items")), "benchmark-hits")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -161,25 +187,34 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items with a null id, null text or no words are nowhere. An item id with several texts is found
     if one of them is. Repeated rows come back each.
     """
-    blocks = _broadcast_blocks(docs, benchmark)
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield common.record_batch(HITS, batch.column("doc_id"), _found(batch, blocks))
-
+    rows, hits = common.id_and_text(docs), _hits_by_text(docs, benchmark)
+    if isinstance(hits, DataFrame):
+        found = rows.select("doc_id", _text_key().alias("key")).join(hits, "key", "left").select(
+            "doc_id", F.coalesce("items", F.array().cast("array<long>")).alias("items"))
+    else:
+        shared, name = docs.sparkSession.sparkContext.broadcast(hits), uuid.uuid4().hex
+
+        def run(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    yield common.record_batch(HITS, batch.column("doc_id"), _items_in(batch.column("text"), shared, name))
+
+        found = rows.mapInArrow(run, HITS)
     count = F.size("items").cast("long")
-    return common.id_and_text(docs).mapInArrow(run, HITS).select(
-        "doc_id", count.alias("n_items"), "items", (count > 0).alias("contaminated"))
+    return found.select("doc_id", count.alias("n_items"), "items", (count > 0).alias("contaminated"))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any benchmark item, with all their columns."""
-    blocks = _broadcast_blocks(docs, benchmark)
+    hits = _hits_by_text(docs, benchmark)
+    if isinstance(hits, DataFrame):
+        return docs.join(hits.select(F.col("key").alias(hit := f"hit_{uuid.uuid4().hex}")), _text_key() == F.col(hit), "left_anti")
+    shared, name = docs.sparkSession.sparkContext.broadcast(hits), uuid.uuid4().hex
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                yield batch.filter(pa.array([not items for items in _found(batch, blocks)]))
+                texts = batch.column(batch.schema.get_field_index("text"))
+                yield batch.filter(pa.array([not items for items in _items_in(texts, shared, name)]))
 
     return docs.mapInArrow(run, docs.schema)

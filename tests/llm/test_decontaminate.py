@@ -63,3 +63,19 @@ def test_hard_rows_and_empty_tables(spark, docs_of):
     assert kept.columns == docs.columns and kept.count() == len(HARD_TEXTS) - 3
     assert d.matches(docs.limit(0), bench).count() == 0
     assert d.matches(docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+def test_several_blocks_keep_rows_and_clashing_columns(spark, docs_of, monkeypatch):
+    bench = spark.createDataFrame(
+        [(1, "no id HERE at all"), (2, "same line same line"), (2, "another text of item two"), (None, "x"), (4, None), (5, " ")],
+        "item_id long, text string")
+    docs = docs_of(HARD_TEXTS + [(70, "see: Another  text of item two")] * 3).selectExpr("*", "1L as item")
+    one = sorted(map(str, d.matches(docs, bench).collect()))
+    kept = sorted(map(str, d.remove_contaminated(docs, bench).collect()))
+    monkeypatch.setattr(d, "BLOCK_CHARS", 1)
+    assert sorted(map(str, d.matches(docs, bench).collect())) == one and sum("items=[2]" in r for r in one) >= 5
+    several = d.remove_contaminated(docs, bench)
+    assert several.columns == docs.columns and sorted(map(str, several.collect())) == kept
+    assert d.matches(docs.limit(0), bench).count() == 0
+    with_nothing = bench.where("item_id is null or text is null")
+    assert d.remove_contaminated(docs, with_nothing).count() == docs.count()
