@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rainloom.schema import IMPORT_DATE, IMPORT_RUN_ID, SOURCE_FILE
+from rainloom.session import unsorted_partitions
 
 
 def with_audit_columns(
@@ -30,12 +31,14 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 def append_raw(df: DataFrame, path: str) -> None:
     """Append the rows of one run to the raw table; no version is replaced."""
-    df.write.mode("append").partitionBy(IMPORT_RUN_ID).parquet(path)
+    with unsorted_partitions(df.sparkSession):
+        df.write.mode("append").partitionBy(IMPORT_RUN_ID).parquet(path)
 
 
 def replace_run(df: DataFrame, path: str) -> None:
     """Write the rows of one run; rows that an earlier attempt of the same run left are replaced."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(IMPORT_RUN_ID).parquet(path)
+    with unsorted_partitions(df.sparkSession):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(IMPORT_RUN_ID).parquet(path)
 
 
 def read_raw_table(spark: SparkSession, path: str, log_path: str | None = None) -> DataFrame:

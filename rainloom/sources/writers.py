@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rainloom.session import plain_planning
+from rainloom.session import plain_planning, unsorted_partitions
 
 
 def write_report(report: DataFrame, path: str) -> None:
@@ -17,7 +17,7 @@ def write_report(report: DataFrame, path: str) -> None:
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split") -> None:
     """Feature table partitioned by split, so each side is read without the other."""
-    with plain_planning(df.sparkSession):
+    with plain_planning(df.sparkSession), unsorted_partitions(df.sparkSession):
         df.write.mode("overwrite").partitionBy(split_col).parquet(path)
 
 

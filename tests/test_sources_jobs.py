@@ -12,6 +12,7 @@ from rainloom import session, sources
 from rainloom.plans import ingest, training
 from rainloom.plans.features import prepare_features
 from rainloom.schema import OBSERVATION_COLUMNS, RAW_TABLE_SCHEMA, TARGET, observation_schema
+from rainloom.sources import tables
 from rainloom.streaming import stream_ingest
 
 
@@ -313,3 +314,19 @@ def test_scratch_space_follows_the_cluster_setting(spark, tmp_path):
     assert df.count() == 5
 
 
+
+
+def test_partitioned_writes_keep_files_open_instead_of_sorting(spark, tmp_path, monkeypatch):
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    df = spark.range(300).select("id", F.concat(F.lit("run-"), F.col("id") % 40).alias("import_run_id")).coalesce(1)
+    writer = type(df.write)
+    given = writer.parquet
+    monkeypatch.setattr(writer, "parquet", lambda self, *a, **b: (seen.append(spark.conf.get(key)), given(self, *a, **b))[1])
+    before = spark.conf.get(key)
+    sources.append_raw(df, f"{tmp_path}/raw")
+    tables.replace_run(df, f"{tmp_path}/raw")
+    sources.write_splits(df.withColumnRenamed("import_run_id", "split"), f"{tmp_path}/splits")
+    assert seen and all(int(n) > 1 for n in seen) and spark.conf.get(key) == before
+    # more runs in a task than open files: the rest is sorted, nothing is lost
+    assert sorted(map(tuple, sources.read_raw_table(spark, f"{tmp_path}/raw").select(*df.columns).collect())) == sorted(map(tuple, df.collect()))
+    assert spark.read.parquet(f"{tmp_path}/splits").groupBy("split").count().count() == 40
