@@ -231,3 +231,19 @@ def test_densities_of_all_columns_equal_single_ones(holes):
         want = {r.grid: (r.x, r.density) for r in explore.kde(holes, c, 50).collect()}
         got = {r.grid: (r.x, r.density) for r in many.where(many["column"] == c).collect()}
         assert set(got) == set(want) and all(got[g] == pytest.approx(want[g]) for g in got)
+
+
+def test_older_versions_go_before_rows_are_sorted(spark, monkeypatch):
+    rows = [(None if i % 11 == 0 else f"k{i % 5}", None if i % 13 == 0 or i % 5 == 2 else i % 7, i % 3, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, v int, t int, x int")
+    want = {}
+    for k, v, t, x in rows:
+        mark = (-1 if v is None else v, t)
+        want[k] = max(want.get(k, mark), mark)
+    for bound in (versions.NEWEST_KEYS, 2):
+        monkeypatch.setattr(versions, "NEWEST_KEYS", bound)
+        got = versions.latest_observation(df, ["k"], "v", ["t"])
+        assert {r.k: (-1 if r.v is None else r.v, r.t) for r in got.collect()} == want
+        # the table of newest versions is joined below the sorting aggregate
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("LeftSemi" in plan) == (bound > 2)
