@@ -8,13 +8,17 @@ them. Weights go to the cheapest segments:
 
 1. Subsets are counted by key. A subset nobody else has costs nothing; a set with more such segments
    than its budget has no partner and leaves (most sets do).
-2. The others ask for their cheapest subsets. Where these are frequent, one-deletion neighbourhoods of
+2. N-grams that no other of the remaining sets has differ from every partner, so a set with too many
+   of them leaves as well, and subsets are counted anew.
+3. The others ask for their cheapest subsets. Where these are frequent, one-deletion neighbourhoods of
    the set's segments are indexed and counted too, and the weights are dealt again by cost; a partner
    that meets a set in frequent subsets only is in the same position, so beyond their rare subsets
    these sets need look at each other only.
-3. Candidates are verified on the whole sets. A bucket never gives all its pairs: pivots are compared
-   with the bucket, then everything that fell into one component is settled. The number of pivots
-   doubles from round to round, best-linked members first, until no bucket joins two components.
+4. Candidates are verified on the whole sets. Every set is first compared with one centre, the typical
+   set it shares most buckets with. A bucket never gives all its pairs: pivots are compared with the
+   bucket, then everything that fell into one component is settled; two sets that must differ too much,
+   by their own n-grams and by what each shares with their common centre, are no pair. The number of
+   pivots grows from round to round, best-linked members first, until no bucket joins two components.
 
 A set takes part in its own band and, if it may have partners there, in the band above.
 N-grams are told apart by XXH64 hashes, sets by 128-bit digests of their hashes.
@@ -46,10 +50,10 @@ FILTER_BITS = 1 << 24
 _BITMAP = 1 << 15                  # bits of one bitmap of Spark's bitmap functions
 
 _PRINT = "doc_id long, digest binary, n int, t_own int, h_own int, t_above int, h_above int, keys array<long>"
-_SET = "digest binary, hashes binary, sketch binary"
+_SET = "digest binary, hashes array<long>, sketch binary"
 _NEIGHBOUR = "key long, node long, seg int, whole boolean"
 _ASKED = "node long, seg int, weight int"
-_LINK = "u long, v long"
+_LINK = "u long, v long, shared int"
 
 
 @dataclass(frozen=True)
@@ -193,7 +197,7 @@ def _hashes_of(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
             known = {_digest(s): s for s in _sets(batch, size)}
             at = np.array([int.from_bytes(d[:4], "big") for d in known], np.int64) % FILTER_BITS
             wanted = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-            rows = [(d, s.tobytes(), sketch(s).tobytes()) for (d, s), w in zip(known.items(), wanted) if w and len(s)]
+            rows = [(d, s.view(np.int64), sketch(s).tobytes()) for (d, s), w in zip(known.items(), wanted) if w and len(s)]
             if rows:
                 yield common.record_batch(_SET, *map(list, zip(*rows)))
 
@@ -203,12 +207,23 @@ def _hashes_of(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
         F.first("hashes").alias("hashes"), F.first("sketch").alias("sketch"))
 
 
+def _accompanied(hashes: DataFrame, rule: Rule) -> DataFrame:
+    """``id, n, own`` of the sets that may have a partner; ``own`` n-grams are in no other of the sets.
+
+    A partner lacks all of them, so too many leave too little to share.
+    """
+    grams = hashes.select("id", F.explode("hashes").alias("gram"))
+    alone = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("holders"), F.min("id").alias("id")).where("holders = 1")
+    own = alone.groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("own"))
+    return hashes.select("id", F.size("hashes").alias("n")).join(own, "id", "left").select(
+        "id", "n", F.coalesce("own", F.lit(0)).alias("own")).where(rule.den * (F.col("n") - F.col("own")) >= rule.num * F.col("n"))
+
+
 def _neighbours(hard: DataFrame, rule: Rule) -> DataFrame:
     """Whole subsets and one-deletion neighbours of all segments of the given nodes (``node, hashes``)."""
     def run(batches):
         for batch in batches:
-            for node, raw in zip(batch.column("node").to_pylist(), batch.column("hashes").to_pylist()):
-                hashes = np.frombuffer(raw, np.uint64)
+            for node, hashes in zip(batch.column("node").to_pylist(), _values(batch.column("hashes"))):
                 band, t_own, _, t_above, _ = (int(r[0]) for r in rule.roles(np.array([len(hashes)])))
                 band, used = (band + 1, t_above) if node & 1 else (band, t_own)
                 segs, mixed, sums = _spread(hashes, band, int(rule.segments[band])), common.mix(hashes), np.zeros(rule.segments[band], np.uint64)
@@ -305,16 +320,26 @@ def exactly_shared(x: np.ndarray, y: np.ndarray) -> int:
     return int((long_[np.minimum(at, len(long_) - 1)] == short).sum())
 
 
-def _similar(pairs: DataFrame, sides: DataFrame, kind: str, shared, rule: Rule) -> DataFrame:
-    """Pairs (u, v) that reach the similarity if ``shared`` tells what they share; ``sides``: id and set."""
+def _values(column: pa.Array) -> list[np.ndarray]:
+    """The sets or sketches of a column."""
+    if pa.types.is_list(column.type):
+        offsets = column.offsets.to_numpy()
+        values = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
+        return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+    return [np.frombuffer(x, "<u2") for x in column.to_pylist()]
+
+
+def _similar(pairs: DataFrame, sides: DataFrame, shared, rule: Rule, every: bool = False) -> DataFrame:
+    """Pairs (u, v) that reach the similarity, or ``every`` pair, if ``shared`` tells what they share;
+    ``sides``: id and set."""
     def run(batches):
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(a, kind), np.frombuffer(b, kind)
-                inter = shared(x, y) if max(len(x), len(y)) <= rule.largest(min(len(x), len(y))) else 0
-                keep.append(rule.holds(inter, len(x) + len(y) - inter))
-            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            keep, inters = [], []
+            for x, y in zip(_values(batch.column("x")), _values(batch.column("y"))):
+                inter = shared(x, y) if every or max(len(x), len(y)) <= rule.largest(min(len(x), len(y))) else 0
+                keep.append(every or rule.holds(inter, len(x) + len(y) - inter))
+                inters.append(inter)
+            yield common.record_batch(_LINK, batch.column("u"), batch.column("v"), inters).filter(pa.array(keep, pa.bool_()))
 
     first, second = (sides.toDF("u", "x"), sides.toDF("v", "y"))
     return pairs.join(first, "u").join(second, "v").select("u", "v", "x", "y").mapInArrow(run, _LINK)
@@ -326,44 +351,88 @@ def _verified(pairs: DataFrame, hashes: DataFrame, rule: Rule) -> DataFrame:
     Sketches, a quarter of the size, go first: they overrate what two sets share, so they only dismiss
     pairs that cannot be similar.
     """
-    likely = materialize(_similar(pairs, hashes.select("id", "sketch"), "<u2", most_shared, rule), "likely")
-    return _similar(likely, hashes.select("id", "hashes"), "<u8", exactly_shared, rule)
+    likely = materialize(_similar(pairs, hashes.select("id", "sketch"), most_shared, rule), "likely")
+    return _similar(likely.select("u", "v"), hashes.select("id", "hashes"), exactly_shared, rule).select("u", "v")
 
 
-def _linked(buckets: DataFrame, hashes: DataFrame, rule: Rule) -> DataFrame | None:
+def _may_link(rule: Rule) -> F.Column:
+    """Whether a member and a pivot (columns ``p_``) can be similar, by what is known of each.
+
+    Own n-grams are in no other set. The rest of each splits into what is in its centre (``inter``) and
+    what is not; with the same centre both parts differ by at least their difference in size.
+    """
+    rest, p_rest = F.col("n") - F.col("own"), F.col("p_n") - F.col("p_own")
+    inside, outside = F.col("inter") - F.col("p_inter"), rest - F.col("inter") - (p_rest - F.col("p_inter"))
+    differ = F.when(F.col("centre") == F.col("p_centre"), F.abs(inside) + F.abs(outside)).otherwise(F.abs(rest - p_rest))
+    return (rule.den - rule.num) * (F.col("n") + F.col("p_n")) >= (rule.den + rule.num) * (F.col("own") + F.col("p_own") + differ)
+
+
+def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the buckets that may still join two components, with their labels."""
+    now = buckets.join(labels, "id")
+    open_ = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("probe").alias("asked"))
+    return materialize(now.join(open_.where("low < high and asked").select("key"), "key", "left_semi"), "open_buckets")
+
+
+def _centred(now: DataFrame, labels: DataFrame, hashes: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """Labels with each set's centre and what it shares with it, and the pairs (u, v) compared for that, with
+    ``linked``.
+
+    Every bucket names its member with the most company (in a group of near copies that is the text
+    most like all others); a set's centre is the one that most of its buckets name.
+    """
+    named = now.groupBy("key").agg(F.max(F.struct("company", F.xxhash64("id").alias("h"), "id")).alias("best"))
+    votes = now.join(named, "key").groupBy("id", "best").agg(F.count(F.lit(1)).alias("votes"))
+    chosen = votes.groupBy("id").agg(F.max(F.struct("votes", "best")).alias("most")).select(
+        F.col("id").alias("u"), F.col("most.best.id").alias("v")).where("u <> v")
+    shared = materialize(_similar(chosen, hashes.select("id", "hashes"), exactly_shared, rule, every=True), "centres")
+    sizes = labels.select("id", "n")
+    compared = shared.join(sizes.toDF("u", "n_u"), "u").join(sizes.toDF("v", "n_v"), "v").select(
+        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"),
+        (rule.den * F.col("shared") >= rule.num * (F.col("n_u") + F.col("n_v") - F.col("shared"))).alias("linked"))
+    centred = labels.drop("centre", "inter").join(shared.select(F.col("u").alias("id"), F.col("v").alias("centre"), F.col("shared").alias("inter")), "id", "left")
+    return centred.withColumn("centre", F.coalesce("centre", "id")).withColumn(
+        "inter", F.coalesce("inter", F.col("n") - F.col("own"))), materialize(compared, "compared")
+
+
+def _linked(buckets: DataFrame, sized: DataFrame, hashes: DataFrame, rule: Rule) -> DataFrame | None:
     """Star edges (u, v) that connect what all links among the buckets' candidates connect; None without any.
 
-    Each round compares up to ``2 ** round`` pivots of a bucket with its members in other components:
-    those with the most links so far, then those with the most company in their buckets (in a group of
-    near copies that is the text most like all others). A pivot has then met its whole bucket and asks
-    no more, so the rounds end. No pair is compared twice.
+    At first each set meets its centre. Each round then compares up to ``8 ** round`` pivots of a bucket
+    with those members in other components that may be similar: pivots with the most links so far, then
+    those with the most company. A pivot has then met its whole bucket and asks no more, so the rounds
+    end. No pair is compared twice.
     """
     company = buckets.groupBy("key").agg((F.count(F.lit(1)) - 1).alias("others"))
-    labels = materialize(buckets.join(company, "key").groupBy("id").agg(F.sum("others").alias("company")).select(
-        "id", F.col("id").alias("root"), F.lit(0).cast("long").alias("links"), "company"), "labels")
-    edges, seen, turn = None, None, 0
+    labels = materialize(buckets.join(company, "key").groupBy("id").agg(F.sum("others").alias("company")).join(sized, "id").select(
+        "id", F.col("id").alias("root"), F.lit(0).cast("long").alias("links"), "company", "n", "own"), "labels")
+    now = _open(buckets, labels)
+    labels, compared = _centred(now, labels, hashes, rule)
+    seen, found, edges, turn = compared.select("u", "v").distinct(), compared.where("linked").select("u", "v").distinct(), None, 0
     while True:
-        now = buckets.join(labels, "id")
-        open_ = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("probe").alias("asked"))
-        now = materialize(now.join(open_.where("low < high and asked").select("key"), "key", "left_semi"), "open_buckets")
-        best = F.max(F.struct("links", "company", F.xxhash64("id").alias("h"), "id", "side", "root")).alias("best")
-        lot = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(1 << min(turn, 40)))
-        # at first the most typical member of each bucket, asking or not: mostly one for a whole group
-        pivots = (now.where("probe") if turn else now).groupBy("key", lot.alias("lot")).agg(best)
-        pivots = materialize(pivots.select("key", *[F.col(f"best.{c}").alias(f"p_{c}") for c in ("id", "side", "root")]), "pivots")
+        if not found.isEmpty():
+            stars = components(found if edges is None else edges.unionByName(found))
+            edges = stars.select(F.col("node").alias("u"), F.col("root").alias("v"))
+            new = found.select(F.explode(F.array("u", "v")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("new"))
+            labels = labels.drop("root").join(new, "id", "left").join(stars, labels["id"] == stars["node"], "left").select(
+                "id", F.coalesce("root", "id").alias("root"), (F.col("links") + F.coalesce("new", F.lit(0))).alias("links"),
+                "company", "n", "own", "centre", "inter")
+        if turn == 0 or not found.isEmpty():
+            labels = materialize(labels, "labels")
+        now = _open(buckets, labels)
+        lot = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(1 << min(3 * turn, 40)))
+        told = ("id", "side", "root", "n", "own", "centre", "inter")
+        best = F.max(F.struct("links", "company", F.xxhash64("id").alias("h"), *told)).alias("best")
+        pivots = now.where("probe").groupBy("key", lot.alias("lot")).agg(best)
+        pivots = materialize(pivots.select("key", *[F.col(f"best.{c}").alias(f"p_{c}") for c in told]), "pivots")
         if pivots.isEmpty():
             return edges
-        pairs = now.join(pivots, "key").where("root <> p_root and (side = 0 or side <> p_side)").select(
+        pairs = now.join(pivots, "key").where("root <> p_root and (side = 0 or side <> p_side)").where(_may_link(rule)).select(
             F.least("id", "p_id").alias("u"), F.greatest("id", "p_id").alias("v")).distinct()
-        pairs = materialize(pairs if seen is None else pairs.join(seen, ["u", "v"], "left_anti"), "pairs")
-        seen = pairs if seen is None else seen.unionByName(pairs)
+        pairs = materialize(pairs.join(seen, ["u", "v"], "left_anti"), "pairs")
+        seen = seen.unionByName(pairs)
         found = materialize(_verified(pairs, hashes, rule), "links")
-        stars = components(found if edges is None else edges.unionByName(found))
-        edges = stars.select(F.col("node").alias("u"), F.col("root").alias("v"))
-        new = found.select(F.explode(F.array("u", "v")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("new"))
-        labels = materialize(labels.drop("root").join(new, "id", "left").join(stars, labels["id"] == stars["node"], "left").select(
-            "id", F.coalesce("root", "id").alias("root"), (F.col("links") + F.coalesce("new", F.lit(0))).alias("links"), "company"), "labels")
-        done = pivots.select("key", F.col("p_id").alias("id"), F.lit(True).alias("met"))
+        done = pivots.select("key", F.col("p_id").alias("id"), F.lit(True).alias("met")).distinct()
         buckets = now.join(done, ["key", "id"], "left").select(
             "key", "id", "side", (F.col("probe") & F.col("met").isNull()).alias("probe"))
         turn += 1
@@ -392,10 +461,19 @@ def join_sets(docs: DataFrame, size: int = SHINGLE, rule: Rule = Rule()) -> tupl
     ).alias("x")).select("x.*")
     # a set is left with candidates if no more subsets than its budget are its own
     active = found.join(nodes, "node").where("t - size(subsets) <= h").select(
-        "node", F.shiftright("node", 1).alias("id"), (F.col("h") + 1).alias("total"),
-        (F.col("h") + 1 - F.col("t") + F.size("subsets")).alias("need"), "subsets")
+        "node", F.shiftright("node", 1).alias("id"), "t", (F.col("h") + 1).alias("total"), "subsets")
     active = materialize(active, "active")
     hashes = materialize(_hashes_of(docs, sets.join(active.select("id").distinct(), "id", "left_semi").select("digest", "id"), size), "hashes")
+    sized = materialize(_accompanied(hashes, rule), "sized")
+    hashes = materialize(hashes.join(sized.select("id"), "id", "left_semi"), "accompanied")
+    held = active.join(sized.select("id"), "id", "left_semi").select(
+        "node", "t", "total", F.explode("subsets.key").alias("key")).repartition("key")
+    again = held.groupBy("key").agg(F.count("node").alias("holders")).where("holders > 1")
+    active = held.join(again, "key").groupBy("node", "t", "total").agg(
+        F.sort_array(F.collect_list(F.struct("holders", "key"))).alias("subsets")).where("t - size(subsets) < total").select(
+        "node", F.shiftright("node", 1).alias("id"), "total",
+        (F.col("total") - F.col("t") + F.size("subsets")).alias("need"), "subsets")
+    active = materialize(active, "active")
     hard = active.where(F.element_at("subsets", F.col("need")).getField("holders") > HOT).select("node", "id", "total")
     asks = (F.col("at") < F.col("need")) & (F.col("subset.holders") <= HOT)
     rows = active.select("id", "need", F.posexplode("subsets").alias("at", "subset")).select(
@@ -403,7 +481,7 @@ def join_sets(docs: DataFrame, size: int = SHINGLE, rule: Rule = Rule()) -> tupl
     if not hard.isEmpty():
         rows = rows.unionByName(_frequent_buckets(hard, hashes, rule).withColumn("key", F.xxhash64("key", F.lit("hard"))))
     buckets = materialize(_without_twins(rows), "buckets")
-    return prints, sets, _linked(buckets, hashes, rule)
+    return prints, sets, _linked(buckets, sized, hashes, rule)
 
 
 def components_of(docs: DataFrame, size: int = SHINGLE, rule: Rule = Rule()) -> DataFrame:

@@ -106,6 +106,17 @@ def test_a_large_group_gives_few_pairs(spark, docs_of, monkeypatch):
     assert sum(compared) < 20 * len(rows)
 
 
+def test_near_misses_of_one_text_are_not_compared_pair_by_pair(spark, docs_of, monkeypatch):
+    compared = []
+    verified = jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *rest: (compared.append(pairs.count()), verified(pairs, *rest))[1])
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(edited(rng, base, share))) for i, share in enumerate([0.03] * 60 + [0.14] * 120)] + [(180, " ".join(base))]
+    assert result_of(docs_of(rows)) == brute(rows)
+    assert sum(compared) < len(rows)
+
+
 def test_sizes_and_weights():
     rule = jaccard_join.Rule()
     n = np.arange(1, 3000)
