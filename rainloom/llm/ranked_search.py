@@ -24,6 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rainloom.llm import common
+from rainloom.session import SMALL_GROUPS
 
 TOP = 20
 #: postings and documents of one range
@@ -198,7 +199,8 @@ def write_index(docs: DataFrame, path: str, shard_postings: int = SHARD_POSTINGS
         if ids:
             yield _shard(ids, texts, vocabulary, n_docs, n_terms)
 
-    common.id_and_text(docs).mapInArrow(run, SHARD_SCHEMA).write.option("compression", "zstd").parquet(f"{path}/shards")
+    common.id_and_text(docs).mapInArrow(run, SHARD_SCHEMA).write.options(
+        compression="zstd", **SMALL_GROUPS).parquet(f"{path}/shards")
 
 
 def _item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[object, Counter]]]:

@@ -120,3 +120,16 @@ def test_few_ranges_are_opened_for_a_rare_term(monkeypatch):
     treap.bits = bits.view(Counted)
     assert treap.search(np.array([3000]), np.array([1]), 20) == [(1, 1234)]
     assert sum(seen) < 60
+
+
+def test_the_index_is_written_range_by_range(spark, docs_of, tmp_path):
+    """A range is up to 20 MB; the writer must not hold all ranges of a task."""
+    import pyarrow.parquet as pq
+
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(60_000))) for i in range(40)]
+    ranked_search.write_index(docs_of(rows).coalesce(1), f"{tmp_path}/index", shard_docs=1)
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "index" / "shards").glob("*.parquet")]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 40 and len(groups) > 1
+    assert max(g.total_byte_size for g in groups) < 40 << 20
