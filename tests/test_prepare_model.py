@@ -314,3 +314,15 @@ def test_nan_counts_as_missing_when_fitting(spark):
     assert scale.centre == [middle] and scale.scale == [pytest.approx(high - low)]
     filled = [r.x for r in prepare.mean_impute(df, ["x"]).collect()]
     assert filled[0] == pytest.approx(np.mean(known)) and not np.isnan(filled).any()
+
+
+def test_candidates_that_share_a_fit(spark):
+    grid = [{"n_estimators": n, "num_leaves": k} for n in (2, 5) for k in (3, 4)] + [{"n_estimators": 2, "growth": "depth"}, {"n_estimators": 3, "growth": "depth"}]
+    assert modeling._shared_fits(grid) == [[0, 2], [1, 3], [4], [5]]
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, 2))
+    from pyspark.ml.linalg import Vectors
+
+    ready = spark.createDataFrame([(Vectors.dense(r), int(r[0] + r[1] ** 2 > 0.5)) for r in x], ["features", "RainTomorrow"])
+    few, many = (modeling.train_classifier(ready, n_estimators=n, num_leaves=3) for n in (2, 5))
+    assert many.first_trees(2).ensemble == few.ensemble
