@@ -316,6 +316,29 @@ def test_nan_counts_as_missing_when_fitting(spark):
     assert filled[0] == pytest.approx(np.mean(known)) and not np.isnan(filled).any()
 
 
+def test_registered_fits_are_whole(spark, monkeypatch):
+    """``train_score`` and ``grid_search`` fit the published numbers of trees and leaves."""
+    from rainloom.catalog import queries
+
+    class Seen(Exception):
+        pass
+
+    def seen(train, *given, **named):
+        raise Seen(given, named)
+
+    monkeypatch.setattr(queries, "_split_features", lambda spark, sf_dir: (None, None))
+    monkeypatch.setattr(modeling, "fit_model", seen)
+    monkeypatch.setattr(modeling, "grid_search", seen)
+    with pytest.raises(Seen) as fit:
+        queries.train_score(spark, "")
+    assert fit.value.args[0][0] == {"n_estimators": 100, "num_leaves": 31}
+    with pytest.raises(Seen) as search:
+        queries.grid_search(spark, "")
+    given, named = search.value.args
+    assert given[1:] == () and named == {}                # the published grid, all rounds of the imputer
+    assert modeling.SEARCH_GRID == {"n_estimators": [100, 200], "num_leaves": [31, 63]}
+
+
 def test_candidates_that_share_a_fit(spark):
     grid = [{"n_estimators": n, "num_leaves": k} for n in (2, 5) for k in (3, 4)] + [{"n_estimators": 2, "growth": "depth"}, {"n_estimators": 3, "growth": "depth"}]
     assert modeling._shared_fits(grid) == [[0, 2], [1, 3], [4], [5]]
